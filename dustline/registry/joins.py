@@ -80,9 +80,9 @@ _MEAN3 = "(coalesce({0},0)+coalesce({0}_lag1,0)+coalesce({0}_lag2,0)) / nullif((
 
 
 @query("L3 D9 F6 I11 I12", X.with_(X.STATIONS, X.POINTS, X.CAMS, X.MET, *[_bilinear_sql(t, s, v, a, k) for (t, s, v, k), a in zip(_NEED, _ALIAS)])
-       + f"""SELECT site_id, date, {sr('ln(greatest(cams_pm25, 0.1))','log_cams_pm25')}, {sr('cams_pm25_lag1','cams_pm25_lag1')}, {sr(_MEAN3.format('cams_pm25'),'cams_pm25_3d')},
- {sr('cams_dust_lag1','cams_dust_lag1')}, {sr('cams_dust / (cams_pm10 + 1.0)','dust_frac')}, {sr('ln(1 + greatest(cams_dust, 0))','log_cams_dust')},
- {sr('coalesce(precip,0)+coalesce(precip_lag1,0)+coalesce(precip_lag2,0)','precip_3d')}, {sr('precip_lag1','precip_lag1')}, {sr('ln(greatest(blh, 30))','log_blh')},
+       + f"""SELECT site_id, date, {sr('CASE WHEN cams_pm25 IS NOT NULL THEN ln(greatest(cams_pm25, 0.1)) END','log_cams_pm25')}, {sr('cams_pm25_lag1','cams_pm25_lag1')}, {sr(_MEAN3.format('cams_pm25'),'cams_pm25_3d')},
+ {sr('cams_dust_lag1','cams_dust_lag1')}, {sr('cams_dust / (cams_pm10 + 1.0)','dust_frac')}, {sr('CASE WHEN cams_dust IS NOT NULL THEN ln(1 + greatest(cams_dust, 0)) END','log_cams_dust')},
+ {sr('coalesce(precip,0)+coalesce(precip_lag1,0)+coalesce(precip_lag2,0)','precip_3d')}, {sr('precip_lag1','precip_lag1')}, {sr('CASE WHEN blh IS NOT NULL THEN ln(greatest(blh, 30)) END','log_blh')},
  {sr('blh * ws10','ventilation')}, {sr('rh_lag1','rh_lag1')}, {sr('ws10_lag1','ws10_lag1')}, {sr(_MEAN3.format('merra_aod'),'merra_aod_3d')},
  {sr('sin(atan2(-u10, -v10))','wind_dir_sin')}, {sr('cos(atan2(-u10, -v10))','wind_dir_cos')}, CAST((dayofweek(date) + 6) % 7 AS INTEGER) AS dow
 FROM {_ALIAS[0]} """ + " ".join(f"JOIN {a} USING (site_id, date)" for a in _ALIAS[1:]))
