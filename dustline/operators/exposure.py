@@ -46,9 +46,11 @@ def dense_series(stats: DataFrame, dates: DataFrame, ids: DataFrame, values: dic
         F.map_from_entries(F.collect_list(F.struct("date", F.struct(*[
             F.round(S.finite(F.col(v)), nd).alias(v) for v, nd in values.items()])))).alias("_m"))
     aligned = ids.join(F.broadcast(axis)).join(packed, ["level", "id"], "left")
-    return aligned.select("level", "id", "name", "dates", *[
-        F.transform("dates", lambda d, v=v: F.when(F.col("_m").isNotNull(), F.try_element_at("_m", d)[v])).alias(v)
-        for v in values])
+
+    def along_axis(v: str) -> Column:
+        return F.transform("dates", lambda d: F.when(F.col("_m").isNotNull(), F.try_element_at("_m", d)[v])).alias(v)
+
+    return aligned.select("level", "id", "name", "dates", *[along_axis(v) for v in values])
 
 
 def spine_join(stats: DataFrame, dates: DataFrame, ids: DataFrame) -> DataFrame:

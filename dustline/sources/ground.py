@@ -46,10 +46,11 @@ def read_reference(spark: SparkSession, glob: str) -> DataFrame:
     """
     raw = (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
            .option("ignoreTrailingWhiteSpace", True).schema(REFERENCE_SCHEMA).csv(glob))
-    name = F.substring_index(F.col("_metadata.file_path"), "/", -1)
-    tagged = raw.select("*", F.lower(F.regexp_extract(name, r"^([^_]+)_", 1)).alias("city"),
-                        F.regexp_extract(name, r"_(\d{4})_", 1).alias("file_year"),
-                        name.contains("YTD").alias("is_ytd"))
+    path = F.col("_metadata.file_path")
+    label = r"([^/_]+)_PM2\.5_(\d{4})_([^/]*)"
+    tagged = raw.select("*", F.lower(F.regexp_extract(path, label, 1)).alias("city"),
+                        F.regexp_extract(path, label, 2).alias("file_year"),
+                        F.regexp_extract(path, label, 3).contains("YTD").alias("is_ytd"))
     has_ytd = (tagged.where("is_ytd").select("city", "file_year").distinct().withColumn("_y", F.lit(True)))
     used = (tagged.join(F.broadcast(has_ytd), ["city", "file_year"], "left")
             .where(F.col("is_ytd") | F.col("_y").isNull()))
