@@ -6,6 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation over rows with both values; NULL where either is constant."""
+    both = x.isNotNull() & y.isNotNull()
+    a, b = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def scores(obs: Column, pred: Column, min_rows: int = 3, slope: bool = True) -> list[Column]:
     """Score columns over rows where both values are present; below ``min_rows`` only the count is kept."""
     both = obs.isNotNull() & pred.isNotNull()
@@ -19,7 +26,7 @@ def scores(obs: Column, pred: Column, min_rows: int = 3, slope: bool = True) ->
     err = p - y
     out = [
         n.alias("n"),
-        keep(F.corr(y, p), "r"),
+        keep(correlation(y, p), "r"),
         keep(1 - F.try_divide(F.sum(err * err), F.var_pop(y) * n), "r2"),
         keep(F.sqrt(F.avg(err * err)), "rmse"),
         keep(F.avg(F.abs(err)), "mae"),
