@@ -162,7 +162,7 @@ def _smooth_axis(cells: DataFrame, along: str, across: str, values: Sequence[str
     """
     r = len(weights) // 2
     own = F.floor(F.col(along) / block)
-    homes = F.array_distinct(F.array(F.floor((F.col(along) - r) / block), own, F.floor((F.col(along) + r) / block)))
+    homes = F.sequence(F.floor((F.col(along) - r) / block), F.floor((F.col(along) + r) / block))
     spread = cells.withColumn("_own", own).withColumn("_b", F.explode(homes))
     frame = W.partitionBy("_b", across).orderBy(along).rowsBetween(-r, r)
     tail = [0.0]
