@@ -14,7 +14,7 @@ EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
 
 
 def reading_stream(spark, sf):
-    e = ingest.file_stream(spark, f"{sf}/events.parquet", EVENTS)
+    e = ingest.file_stream(spark, f"{sf}/events*.parquet", EVENTS)
     kind = F.when(F.col("event_type") == "error", "relativehumidity").when(F.col("event_type") == "signup", "temperature").otherwise("pm25")
     value = F.floor(F.col("value") / 20.0) * 50.0 - 20.0 + F.pmod("user_id", F.lit(2)) * 25.0
     return e.select(F.concat(F.lit("oaq_"), F.pmod("user_id", F.lit(5)).cast("string")).alias("site_id"), F.concat(F.lit("s"), F.pmod("user_id", F.lit(3)).cast("string")).alias("sensors_id"),
@@ -50,7 +50,7 @@ def streamed_stuck_flags(spark, sf):
     return log.read().select("site_id", F.col("hour").cast("long").alias("sec"), "stuck")
 
 
-@query("J1 F8", "SELECT user_id, CAST(ts AS DATE) AS date, round(arg_max(value, event_id) + CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-19' THEN 1000 ELSE 0 END, 4) AS value FROM events GROUP BY ALL")
+@query("J1 F8", "SELECT user_id, date, round(round(v, 4) + CASE WHEN date >= DATE '2024-01-19' THEN 1000 ELSE 0 END, 4) AS value FROM (SELECT user_id, CAST(ts AS DATE) AS date, arg_max(value, event_id) AS v FROM events GROUP BY ALL)")
 def late_batch_upsert(spark, sf):
     """The last days are read again and replace the earlier rows; replaying the batch changes nothing."""
     from dustline.operators.tables import keep_last
