@@ -9,7 +9,7 @@ from dustline.operators import clusters, fires, kriging, spatial
 from dustline.registry import feeds as X
 from dustline.registry.core import query
 from dustline.registry.feeds import r, sr
-from dustline.registry.joins import CSPOTS, cell_spots, residual_rows
+from dustline.registry.joins import _EDGES, CSPOTS, RES, cell_spots, residual_rows
 
 CORNERS = ((-1.0, 0.0), (0.0, -1.0), (1.0, 0.0), (0.0, 1.0))
 _EDGE_ROWS = ", ".join(f"({a[0]}::DOUBLE, {a[1]}::DOUBLE, {b[0]}::DOUBLE, {b[1]}::DOUBLE)" for a, b in zip(CORNERS, CORNERS[1:] + CORNERS[:1]))
@@ -186,7 +186,10 @@ def city_clusters(spark, sf):
     return clusters.site_clusters(X.stations(spark, sf).select("site_id", "lat", "lon"))
 
 
-@query("L7 D23")
+@query("L7 D23", X.with_(X.STATIONS, X.SITE_DAYS, RES) + f"""SELECT bin, km, {sr('sum(prod) / count(*) / any_value(v)','corr',6)}, count(*) AS n_pairs FROM (
+ SELECT CAST(len(list_filter({_EDGES}, lambda e: e <= d)) - 1 AS INTEGER) AS bin, prod FROM (
+  SELECT {X.hav('a.lat','a.lon','b.lat','b.lon')} AS d, a.resid * b.resid AS prod FROM res a JOIN res b ON a.date = b.date AND a.site_id < b.site_id)) JOIN (VALUES {", ".join(f"({k}, {(a + b) / 2}::DOUBLE)" for k, (a, b) in enumerate(zip(P.CORRELOGRAM_BINS, P.CORRELOGRAM_BINS[1:])))}) c(bin, km) USING (bin), (SELECT var_pop(resid) AS v FROM res)
+ GROUP BY bin, km HAVING count(*) >= 30""")
 def residual_correlogram(spark, sf):
     pts = kriging.correlogram_points(residual_rows(spark, sf))
     return pts.select("bin", "km", r("corr", 6), "n_pairs")

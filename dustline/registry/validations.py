@@ -132,7 +132,7 @@ def nested_interval_coverage(spark, sf):
     return c.select("nominal", "subset", r("coverage"), "n", r("median_width"))
 
 
-@query("E29 N6", BASE + f"SELECT site_id, CAST(month(date) AS INTEGER) AS month, count(*) AS n, {sr('avg(pm25)','obs')}, {sr('avg(cams_pm25)','cams')}, {sr('quantile_cont(cams_pm25 / pm25, 0.5)','ratio')} FROM predictions WHERE is_reference GROUP BY ALL")
+@query("E29 N6 K6", BASE + f"SELECT site_id, CAST(month(date) AS INTEGER) AS month, count(*) AS n, {sr('avg(pm25)','obs')}, {sr('avg(cams_pm25)','cams')}, {sr('quantile_cont(cams_pm25 / pm25, 0.5)','ratio')} FROM predictions WHERE is_reference GROUP BY ALL")
 def reference_site_bias(spark, sf):
     p = X.predictions(spark, sf).where("is_reference").withColumn("month", F.month("date"))
     g = p.groupBy("site_id", "month").agg(F.count(F.lit(1)).alias("n"), F.avg("pm25").alias("obs"), F.avg("cams_pm25").alias("cams"))
