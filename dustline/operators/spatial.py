@@ -92,21 +92,25 @@ def nearest_occupied_cell(cells: DataFrame, occupied: DataFrame, cap_km: float =
     """Distance (km) from each grid cell to the nearest occupied one, capped.
 
     Separable: two window scans give the horizontal gap within each row, then each column
-    takes the best of the rows within the cap. Windows span one grid row or column.
+    takes the best of the rows within the cap. Columns are cut into blocks with a halo of
+    the cap, so a window spans one grid row or one block however long the columns are.
     """
     reach = math.ceil(cap_km / cell_km)
+    block = 8 * reach
     tagged = (cells.select("row", "col").withColumn("_own", F.lit(1))
               .join(occupied.select("row", "col").distinct().withColumn("_hit", F.lit(1)), ["row", "col"], "full"))
     left = W.partitionBy("row").orderBy("col").rowsBetween(W.unboundedPreceding, 0)
     right = W.partitionBy("row").orderBy("col").rowsBetween(0, W.unboundedFollowing)
     marked = F.when(F.col("_hit") == 1, F.col("col"))
     gap = F.least(F.col("col") - F.last(marked, True).over(left), F.first(marked, True).over(right) - F.col("col"))
-    column = W.partitionBy("col").orderBy("row").rangeBetween(-reach, reach)
-    scanned = tagged.withColumn("_h", gap).withColumn(
+    column = W.partitionBy("col", "_b").orderBy("row").rangeBetween(-reach, reach)
+    homes = F.sequence(F.floor((F.col("row") - reach) / block), F.floor((F.col("row") + reach) / block))
+    spread_out = tagged.withColumn("_h", gap).withColumn("_b", F.explode(homes))
+    scanned = spread_out.withColumn(
         "_near", F.collect_list(F.when(F.col("_h").isNotNull(), F.struct("row", "_h"))).over(column))
     squared = F.array_min(F.transform(
         "_near", lambda n: n["_h"] * n["_h"] + (n["row"] - F.col("row")) * (n["row"] - F.col("row"))))
-    return (scanned.where(F.col("_own") == 1)
+    return (scanned.where((F.col("_own") == 1) & (F.col("_b") == F.floor(F.col("row") / block)))
             .select("row", "col", F.least(F.coalesce(F.sqrt(squared) * cell_km, F.lit(cap_km)), F.lit(cap_km))
                     .alias("dist_road")))
 

@@ -37,16 +37,15 @@ def streamed_deduplication(spark, sf):
 
 @query("J5 K7", X.with_(X.READINGS, X.HOURLY, X.FLAGGED) + "SELECT site_id, epoch(hr)::BIGINT AS sec, stuck FROM flagged")
 def streamed_stuck_flags(spark, sf):
-    """Site-hours arrive in two files, earlier ones first; runs continue across the batches."""
+    """Site-hours arrive in two deliveries, earlier ones first; runs continue across the batches."""
     raw = X.readings(spark, sf)
     h = qc.hourly_mean(raw.where((F.col("parameter") == "pm25") & qc.physical_range(F.col("value"))))
-    src, out = fresh_path(spark, "hours"), fresh_path(spark, "stuck")
-    for k, part in enumerate((h.where("hour < '2024-01-15'"), h.where("hour >= '2024-01-15'"))):
-        part.coalesce(1).write.mode("append").parquet(f"{src}/part{k}")
-    log = ingest.UpsertLog(spark, out, ["site_id", "hour"])
-    state = fresh_path(spark, "stuck-state")
-    s = ingest.file_stream(spark, f"{src}/*", "site_id string, hour timestamp, pm25 double", files_per_batch=1)
-    ingest.run_available(stateful.stuck_stream(s), log.write, "append", state)
+    src, state = fresh_path(spark, "hours"), fresh_path(spark, "stuck-state")
+    log = ingest.UpsertLog(spark, fresh_path(spark, "stuck"), ["site_id", "hour"])
+    for part in (h.where("hour < '2024-01-15'"), h.where("hour >= '2024-01-15'")):
+        part.write.mode("append").parquet(src)
+        s = ingest.file_stream(spark, src, "site_id string, hour timestamp, pm25 double")
+        ingest.run_available(stateful.stuck_stream(s), log.write, "append", state)
     return log.read().select("site_id", F.col("hour").cast("long").alias("sec"), "stuck")
 
 
