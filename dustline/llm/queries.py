@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from dustline.llm.decontamination import op7_decontamination
 from dustline.llm.language_id import op8_language_id
+from dustline.llm.mixing import op9_mixing
+from dustline.llm.near_duplicates import op10_near_duplicates
+from dustline.llm.pii import op1_personal_data
 
-QUERIES = {q.__name__: q for q in (op8_language_id,)}
+QUERIES = {q.__name__: q for q in (op1_personal_data, op7_decontamination, op8_language_id, op9_mixing, op10_near_duplicates)}
 SQL: dict[str, str] = {}
