@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dustline.llm.common import stored, table
+from dustline.llm.decontamination import decontamination_stage
 from dustline.llm.language_id import language_stage
+from dustline.llm.mixing import mixing_stage
+from dustline.llm.near_duplicates import near_duplicate_stage
+from dustline.llm.pii import personal_data_stage
 
 #: (name, function(spark, docs, sf_dir)); all but the last return the columns of ``documents``.
 STAGES = [
     ("language_id", language_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("personal_data", personal_data_stage),
+    ("mixing", mixing_stage),
 ]
 
-#: None of the fitted stages can be expressed in SQL; tests/llm compares them with brute force.
+#: None: the fitted stages cannot be expressed in SQL; tests/llm compares them with brute force.
 ORACLE_SQL = None
 
 
