@@ -19,7 +19,10 @@ Steps and what bounds them:
    near copies joins its centre here, with as many rows as classes.
 4. Second pass: lists that still hold several components give their pairs across components.
    Pairs inside a component are not formed: a further link there cannot change the groups. So no
-   link between different components is lost.
+   link between different components is lost. These pairs come from full sets: with all shingles
+   of the classes in such lists ordered rarest first, two linked sets meet among their first
+   shingles, at places that still leave room for the overlap their sizes need. Members that only
+   share a passage or a template first have their own shingles, so they hardly ever meet.
 5. Both passes filter by set size and sketch estimate, then shuffle the sets of the survivors by
    (salted) centre and confirm them in a streamed pass that holds one set at a time.
 6. Links become components by repeated minimum and pointer jumping, with every round written to
@@ -188,6 +191,32 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .mapInArrow(run, "a long, b long").distinct())
 
 
+def first_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(value, node, n, component, place): for ``nodes`` (node, n, component) the leading shingles of their full sets, ordered by
+    frequency among these sets, that another of them has too; ``place`` counts from 1."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                values = np.frombuffer(members, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), node)), pa.array(values)], names=["node", "value"])
+
+    wanted = sets.join(nodes.select("node"), "node").groupBy("node").agg(F.first("members").alias("members"))
+    full = stored(wanted.mapInArrow(run, "node long, value long"), "mixed-sets")
+    common = full.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = full.join(common, "value").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared"))
+    alone = F.col("n") - F.size("shared")
+    take = (F.col("n") - F.ceil(F.col("n") * NUMER / DENOM) + 1 - alone).cast("int")
+    led = nodes.join(shared, "node").select("node", "n", "component", alone.alias("alone"), take.alias("take"), "shared").where("take > 0")
+    return led.select("node", "n", "component", "alone", F.posexplode(F.slice("shared", F.lit(1), F.col("take"))).alias("i", "x")) \
+        .select(F.col("x.value").alias("value"), "node", "n", "component", (F.col("alone") + F.col("i") + 1).alias("place"))
+
+
+def _mixed(named: DataFrame) -> DataFrame:
+    """The lists of ``named`` (value, node, component and more) that hold several components."""
+    mixed = named.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("value")
+    return named.join(mixed, "value")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over ``links`` (a, b), for every node that has a link."""
     both = stored(links.select(F.col("a").alias("node"), F.col("b").alias("other"))
@@ -215,7 +244,10 @@ def groups(docs: DataFrame) -> DataFrame:
     found = None
     if not posted.isEmpty():
         wanted = posted.select("node").distinct().join(classes, "node").select(F.col("first_id").alias("doc_id")).where("doc_id is not null").distinct()
-        sets = stored(full_sets(keep_ids(docs.select("doc_id", "text"), wanted, "doc_id")), "sets")
+        sets = full_sets(keep_ids(docs.select("doc_id", "text"), wanted, "doc_id"))
+        if not classes.where("first_id is null").isEmpty():
+            sets = sets.unionByName(full_sets(docs.where("doc_id is null")))
+        sets = stored(sets, "sets")
         centre = posted.groupBy("value").agg(F.max_by("node", F.struct("spread", "node")).alias("widest"), F.min("node").alias("least"))
         near = posted.join(centre, "value").select("node", F.explode(F.array("widest", "least")).alias("centre")).where("node <> centre").distinct()
         # a pair can come from both of its ends
@@ -223,11 +255,12 @@ def groups(docs: DataFrame) -> DataFrame:
         first = stored(confirmed(_estimated(near, classes), sets), "first-links")
         label = components(first)
         named = posted.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = named.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("value")
-        named = stored(named.join(mixed, "value"), "mixed-lists").select("value", "node", "n", "component")
-        other = named.select("value", *(F.col(c).alias(f"o_{c}") for c in ("node", "n", "component")))
-        across = named.join(other, "value").where((F.col("node") < F.col("o_node")) & (F.col("component") != F.col("o_component"))
-                                                  & _sizes_agree(F.col("n"), F.col("o_n"))) \
+        named = stored(_mixed(named), "mixed-lists")
+        led = stored(_mixed(first_shingles(named.select("node", "n", "component").distinct(), sets)), "first-shingles")
+        other = led.select("value", *(F.col(c).alias(f"o_{c}") for c in ("node", "n", "component", "place")))
+        needed = F.ceil((F.col("n") + F.col("o_n")) * NUMER / (NUMER + DENOM))
+        across = led.join(other, "value").where((F.col("node") < F.col("o_node")) & (F.col("component") != F.col("o_component"))
+                                                & (F.col("n") - F.col("place") + 1 >= needed) & (F.col("o_n") - F.col("o_place") + 1 >= needed)) \
             .select(F.col("node").alias("a"), F.col("o_node").alias("b")).distinct()
         second = stored(confirmed(_estimated(across, classes), sets), "second-links")
         found = label if second.isEmpty() else components(first.unionByName(second))
