@@ -190,6 +190,32 @@ def head_of(counts: DataFrame, most: int = HEAD_WORDS) -> dict[bytes, int]:
     return {r["word"].encode(): r["c"] for r in counts.where(F.floor(F.log2("c") * 4) >= least).collect()}
 
 
+def _shard(model: Model, turn: int) -> callable:
+    """Gradient steps of one shard from the shared weights; gives the change of every block of weights."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        local = Model(np.ones(CLASSES * GROUPS))
+        local.class_offset, local.group_offset = model.class_offset, model.group_offset
+        local.tables = [t.copy() for t in model.tables]
+        tokens = Tokens()
+        ids, counts = tokens.read(sorted((t or "").encode() for t in rows["text"]))
+        h = tokens.hashes[ids]
+        local.learn(features(h, counts), group_of(h), np.random.default_rng(turn))
+        out = []
+        for level, (new, old) in enumerate(zip(local.tables, model.tables)):
+            for at in range(0, FEATURE_ROWS, BLOCK):
+                out.append((level * FEATURE_ROWS + at, (new[at:at + BLOCK] - old[at:at + BLOCK]).tobytes()))
+        return pd.DataFrame(out, columns=["block", "change"])
+
+    return run
+
+
+def _mean(blocks: pd.DataFrame) -> pd.DataFrame:
+    """Mean change of one block of weights; a row counts only the shards that saw it."""
+    parts = np.stack([np.frombuffer(b, dtype=np.float32).reshape(BLOCK, -1) for b in blocks["change"]])
+    seen = np.maximum((parts != 0).any(axis=2).sum(axis=0), 1)
+    return pd.DataFrame({"block": blocks["block"].iloc[:1].to_list(), "change": [(parts.sum(axis=0) / seen[:, None]).astype(np.float32).tobytes()]})
+
+
 def trained(docs: DataFrame, model: Model, fit_documents: int = FIT_DOCUMENTS, rounds: int = ROUNDS) -> Model:
     """``model`` with weights learned from a bounded sample of ``docs`` (doc_id, text)."""
     total = docs.count()
@@ -199,28 +225,7 @@ def trained(docs: DataFrame, model: Model, fit_documents: int = FIT_DOCUMENTS, r
                                                                      F.col("text").cast("string").alias("text"))
     sample = stored(sample, "model-sample")
     for turn in range(rounds):
-        def shard(rows: pd.DataFrame, start=model.tables, turn=turn) -> pd.DataFrame:
-            local = Model(np.ones(CLASSES * GROUPS))
-            local.class_offset, local.group_offset = model.class_offset, model.group_offset
-            local.tables = [t.copy() for t in start]
-            tokens = Tokens()
-            texts = sorted((t or "").encode() for t in rows["text"])
-            ids, counts = tokens.read(texts)
-            h = tokens.hashes[ids]
-            local.learn(features(h, counts), group_of(h), np.random.default_rng(turn))
-            out = []
-            for level, (new, old) in enumerate(zip(local.tables, start)):
-                for at in range(0, FEATURE_ROWS, BLOCK):
-                    out.append((level * FEATURE_ROWS + at, (new[at:at + BLOCK] - old[at:at + BLOCK]).tobytes()))
-            return pd.DataFrame(out, columns=["block", "change"])
-
-        def mean(blocks: pd.DataFrame) -> pd.DataFrame:
-            # a row is averaged over the shards that saw it
-            parts = np.stack([np.frombuffer(b, dtype=np.float32).reshape(BLOCK, -1) for b in blocks["change"]])
-            seen = np.maximum((parts != 0).any(axis=2).sum(axis=0), 1)
-            return pd.DataFrame({"block": blocks["block"].iloc[:1], "change": [(parts.sum(axis=0) / seen[:, None]).astype(np.float32).tobytes()]})
-
-        got = sample.groupBy("shard").applyInPandas(shard, "block int, change binary").groupBy("block").applyInPandas(mean, "block int, change binary").collect()
+        got = sample.groupBy("shard").applyInPandas(_shard(model, turn), "block int, change binary").groupBy("block").applyInPandas(_mean, "block int, change binary").collect()
         tables = [t.copy() for t in model.tables]
         for r in got:
             level, at = divmod(r["block"], FEATURE_ROWS)
