@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dustline.session import fresh_path
 
 #: Text handled at once inside a Python task; only a single longer document exceeds it.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Rows of ids that may be broadcast (16 MB of longs); more are joined through a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -55,6 +55,8 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             stop = max(at + 1, int(np.searchsorted(ends, total + CHUNK_BYTES, side="right")))
             yield batch.slice(at, stop - at)
             at, total = stop, int(ends[stop - 1])
+        del batch, col
+    pa.default_memory_pool().release_unused()
 
 
 def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[bytes]:

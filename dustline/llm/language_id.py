@@ -34,7 +34,7 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 FIT_ROWS = 600  # labelled rows per language, in expectation
 ROUNDS = 3
 LONGEST = 8  # characters of a piece, its word mark included
-MEMORY_WORDS = 300_000
+MEMORY_WORDS = 120_000
 UNKNOWN = 1e-8  # probability of a character outside the vocabulary
 SMOOTHING = 0.05
 WORD = re.compile(r"[^\W\d_]+")
@@ -236,11 +236,9 @@ def fit(docs: DataFrame, vocabulary_path: str = VOCABULARY, fit_rows: int = FIT_
     return {"langs": langs, "pieces": names, "probs": probs}
 
 
-def identify(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` with lang_pred (string) and score (double, posterior of that language)."""
+def identify(docs: DataFrame, model: dict, added: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the predicted language (string) and its posterior (double) under the names of ``added``."""
     langs, names, probs = model["langs"], model["pieces"], model["probs"]
-    schema = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])
-
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(Pieces(names), probs) if langs else None
         for batch in chunks(batches):
@@ -254,11 +252,11 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
                 for i in np.flatnonzero(words):
                     if any(map(str.isalpha, texts[i])):
                         lang[i], post[i] = langs[best[i]], p[i]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, schema.field(0).type), pa.array(post)],
-                                             names=[*batch.schema.names, *schema.names])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(post)],
+                                             names=[*batch.schema.names, *added])
 
     out = docs.schema
-    for name, kind in (("lang_pred", "string"), ("score", "double")):
+    for name, kind in zip(added, ("string", "double")):
         if name in docs.columns:
             raise ValueError(f"column {name} exists already; select or rename first")
         out = type(out)(list(out.fields)).add(name, kind)
@@ -279,5 +277,5 @@ MIN_SCORE = 0.5
 def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a recognised language: those without letters, or whose best posterior is below ``MIN_SCORE``, go."""
     model = fit(docs.select("doc_id", "text", "lang"))
-    scored = identify(docs.select(F.struct(*docs.columns).alias("row"), "text"), model)
-    return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select("row.*")
+    scored = identify(docs, model, ("__language", "__posterior"))
+    return scored.where((F.col("__language") != "und") & (F.col("__posterior") >= MIN_SCORE)).select(*docs.columns)

@@ -43,8 +43,8 @@ FEATURE_ROWS = 1 << 14
 FIT_DOCUMENTS, SHARDS, ROUNDS = 3_000, 8, 3
 BATCH, RATE = 2_048, 0.15
 HEAD_WORDS = 50_000
-FLUSH_WORDS = 400_000
-MEMORY_WORDS = 300_000
+FLUSH_WORDS = 200_000
+MEMORY_WORDS = 150_000
 SMOOTH = 0.1
 END = b" "  # cannot be a word
 BLOCK = 1 << 11  # rows of a block of weights

@@ -52,7 +52,7 @@ WIDTH = 5  # words of a shingle
 K = 64  # retained values of a set
 SHARED = 28  # of K values at least, for a similarity of 0.75 or more
 NUMER, DENOM = 75, 100
-MEMORY_WORDS = 300_000
+MEMORY_WORDS = 150_000
 SALT_ROWS = 256  # members compared with one copy of a centre's set
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 _SIGN = np.uint64(1 << 63)

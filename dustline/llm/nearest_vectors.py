@@ -180,7 +180,7 @@ def _best(k: int) -> callable:
         empty = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
         if not len(queries) or not len(rows):
             return empty
-        rows = rows.drop_duplicates("vec_id")
+        queries, rows = queries.drop_duplicates("vec_id"), rows.drop_duplicates("vec_id")
         x, ids = _matrix(rows["v"]), rows["vec_id"].to_numpy()
         ux, out = unit(x), []
         for at in range(0, len(queries), 200):

@@ -1,8 +1,8 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling (operator 6).
 
 A step of the network is a word: its input joins a word vector (words of the fitting sample seen
-in several documents) and the mean of hashed character-trigram vectors, so unseen spellings still
-have one. Two gated recurrent passes read a window of WINDOW words, attention pools the steps, a
+in several documents), the mean of its hashed character n-gram vectors, and the largest log odds
+among its n-grams, so unseen forms of a stem still have an input. Two gated recurrent passes read a window of WINDOW words, attention pools the steps, a
 logistic unit scores the window. Windows overlap (STRIDE) and cover the whole text; a document has
 the score of its worst window.
 
@@ -21,7 +21,6 @@ labels, language, source and id are never inputs.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -38,29 +37,50 @@ MOST_WORDS = 30_000  # words with a vector of their own
 LEAST_DOCUMENTS = 3  # of the sample, for a word vector
 WINDOW, STRIDE = 32, 24
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 12, 8, 8, 8
-TRIGRAMS = 1 << 12
+NGRAMS = (3, 5, 7)  # characters, word ends included
+GRAM_VECTORS, GRAM_ODDS = 1 << 12, 1 << 20
 ROUNDS, BATCH, RATE = 8, 128, 0.01
-MEMORY_WORDS = 200_000
-WORD = re.compile(r"[^\W_]+")
+LEAST_STEPS = 240  # a small sample is gone through several times a round
+MEMORY_WORDS = 120_000
+WORD = re.compile(r"[^\W_]{1,40}")  # a longer run counts as several words
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def trigram_ids(word: str) -> list[int]:
-    marked = f"<{word[:40]}>"
-    return [zlib.crc32(marked[i:i + 3].encode()) & (TRIGRAMS - 1) for i in range(len(marked) - 2)]
-
-
-def trigram_means(words: list[str], vectors: np.ndarray) -> np.ndarray:
-    """Mean trigram vector of each word."""
-    if not words:
-        return np.zeros((0, vectors.shape[1]), dtype=np.float32)
-    ids = [trigram_ids(w) for w in words]
-    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-    flat = np.fromiter((i for row in ids for i in row), dtype=np.int64, count=int(sizes.sum()))
-    return (np.add.reduceat(vectors[flat], np.concatenate(([0], np.cumsum(sizes)[:-1])), axis=0) / sizes[:, None]).astype(np.float32)
+def grams(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(positions, n-gram hashes as a matrix) of words of equal length."""
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    for n in np.unique(sizes):
+        at = np.flatnonzero(sizes == n)
+        codes = np.frombuffer("".join(f"<{words[j]}>" for j in at).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(at), n + 2).astype(np.uint64)
+        out = []
+        for size in NGRAMS:
+            size = min(size, n + 2)
+            h = np.full((len(at), n + 3 - size), size, dtype=np.uint64)
+            for j in range(size):
+                h = (h ^ codes[:, j:n + 3 - size + j]) * np.uint64(0x9E3779B97F4A7C15)
+                h ^= h >> np.uint64(32)
+            out.append(h)
+        yield at, np.hstack(out)
+
+
+def gram_inputs(words: list[str], vectors: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    """Mean n-gram vector of each word, and the largest log odds of its n-grams."""
+    out = np.zeros((len(words), vectors.shape[1] + 1), dtype=np.float32)
+    for at, h in grams(words):
+        for i in range(0, len(at), 4096):
+            part = h[i:i + 4096]
+            out[at[i:i + 4096], :-1] = vectors[(part % np.uint64(GRAM_VECTORS)).astype(np.int64)].mean(axis=1)
+            out[at[i:i + 4096], -1] = odds[(part % np.uint64(GRAM_ODDS)).astype(np.int64)].max(axis=1)
+    return out
+
+
+def log_odds(bad: np.ndarray, good: np.ndarray, n_bad: int, n_good: int) -> np.ndarray:
+    """Shrunken log odds of features found in so many toxic and other documents, halved."""
+    ratio = 5 * n_good / n_bad
+    return ((np.log((bad + 5) / (n_bad + 5)) - np.log((good + ratio) / (n_good + ratio))).clip(-4, 4) / 2).astype(np.float32)
 
 
 def window_starts(n: int) -> range:
@@ -71,12 +91,12 @@ def window_starts(n: int) -> range:
 class Network:
     """Parameters, forward pass and gradients; all arrays float32."""
 
-    def __init__(self, words: dict[str, int], odds: np.ndarray, seed: int = 5):
+    def __init__(self, words: dict[str, int], odds: np.ndarray, gram_odds: np.ndarray, seed: int = 5):
         rng = np.random.default_rng(seed)
-        self.words = words
+        self.words, self.gram_odds = words, gram_odds
         small = lambda *shape, s=0.1: (rng.standard_normal(shape) * s).astype(np.float32)
-        x = WORD_DIM + CHAR_DIM
-        self.p = {"E": small(len(words) + 1, WORD_DIM), "C": small(TRIGRAMS, CHAR_DIM), "Wa": small(2 * HIDDEN, ATTENTION, s=0.3),
+        x = WORD_DIM + CHAR_DIM + 1
+        self.p = {"E": small(len(words) + 1, WORD_DIM), "C": small(GRAM_VECTORS, CHAR_DIM), "Wa": small(2 * HIDDEN, ATTENTION, s=0.3),
                   "va": small(ATTENTION, s=0.3), "wo": small(2 * HIDDEN, s=0.3), "bo": np.zeros(1, dtype=np.float32)}
         self.p["E"][:len(words), 0] = odds
         self.p["E"][-1] = 0  # a word without a vector
@@ -85,7 +105,7 @@ class Network:
 
     def inputs(self, words: list[str]) -> np.ndarray:
         known = np.fromiter((self.words.get(w, len(self.words)) for w in words), dtype=np.int64, count=len(words))
-        return np.hstack([self.p["E"][known], trigram_means(words, self.p["C"])])
+        return np.hstack([self.p["E"][known], gram_inputs(words, self.p["C"], self.gram_odds)])
 
     def projected(self, words: list[str]) -> np.ndarray:
         """Input products of both directions, a row per word and one of zeros at the end for padding."""
@@ -174,9 +194,9 @@ class Network:
         g["E"], g["C"] = np.zeros_like(self.p["E"]), np.zeros_like(self.p["C"])
         np.add.at(g["E"], known, dx[:, :WORD_DIM])
         g["E"][-1] = 0
-        for w, row in zip(words, dx[:, WORD_DIM:]):
-            ids_ = trigram_ids(w)
-            np.add.at(g["C"], ids_, row / len(ids_))
+        for at, h in grams(words):
+            ids_ = (h % np.uint64(GRAM_VECTORS)).astype(np.int64)
+            np.add.at(g["C"], ids_.ravel(), np.repeat(dx[at, WORD_DIM:-1] / ids_.shape[1], ids_.shape[1], axis=0))
         return g
 
 
@@ -231,13 +251,23 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = ROUNDS, seed: int =
     if not len(texts) or toxic.min() == toxic.max():
         return None
     bad, good = Counter(), Counter()
-    for t, y in zip(texts, toxic):
-        (bad if y else good).update(set(WORD.findall(t.lower())))
+    words = [set(WORD.findall(t.lower())) for t in texts]
+    for have, y in zip(words, toxic):
+        (bad if y else good).update(have)
     n_bad, n_good = int(toxic.sum()), int(len(toxic) - toxic.sum())
-    frequent = sorted((w for w in bad.keys() | good.keys() if bad[w] + good[w] >= LEAST_DOCUMENTS), key=lambda w: (-bad[w] - good[w], w))[:MOST_WORDS]
-    odds = np.array([np.log((bad[w] + 5) / (n_bad + 5)) - np.log((good[w] + 5 * n_good / n_bad) / (n_good + 5 * n_good / n_bad)) for w in frequent],
-                    dtype=np.float32).clip(-4, 4) / 2
-    net = Network({w: i for i, w in enumerate(frequent)}, odds, seed)
+    every = list(bad.keys() | good.keys())
+    place = {w: i for i, w in enumerate(every)}
+    hashed: list = [None] * len(every)
+    for at, h in grams(every):
+        for i, row in zip(at, (h % np.uint64(GRAM_ODDS)).astype(np.int64)):
+            hashed[i] = row
+    gram_bad, gram_good = np.zeros(GRAM_ODDS), np.zeros(GRAM_ODDS)
+    for have, y in zip(words, toxic):
+        if have:
+            (gram_bad if y else gram_good)[np.unique(np.concatenate([hashed[place[w]] for w in have]))] += 1
+    frequent = sorted((w for w in every if bad[w] + good[w] >= LEAST_DOCUMENTS), key=lambda w: (-bad[w] - good[w], w))[:MOST_WORDS]
+    odds = log_odds(np.array([bad[w] for w in frequent], dtype=np.float64), np.array([good[w] for w in frequent], dtype=np.float64), n_bad, n_good)
+    net = Network({w: i for i, w in enumerate(frequent)}, odds, log_odds(gram_bad, gram_good, n_bad, n_good), seed)
     rng, moment, square, step = np.random.default_rng(seed), {}, {}, 0
     for _ in range(rounds):
         scorer = Scorer(net)
@@ -245,8 +275,8 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = ROUNDS, seed: int =
         windows = [w for _, where in scorer_texts for w in where]
         names = list(scorer.ids)
         order = rng.permutation([i for i, w in enumerate(windows) if w is not None])
-        for i in range(0, len(order), BATCH):
-            part = order[i:i + BATCH]
+        batches = [order[i:i + BATCH] for i in range(0, len(order), BATCH)]
+        for part in batches * max(1, -(-LEAST_STEPS // max(1, rounds * len(batches)))):
             ids = np.stack([windows[j] for j in part])
             used, local = np.unique(ids, return_inverse=True)
             local = local.reshape(ids.shape)

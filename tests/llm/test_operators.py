@@ -198,7 +198,7 @@ def test_licences(spark):
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
     words = [f"w{i}" for i in range(12)]
-    net = toxicity.Network({w: i for i, w in enumerate(words[:9])}, rng.standard_normal(9).astype(np.float32))
+    net = toxicity.Network({w: i for i, w in enumerate(words[:9])}, rng.standard_normal(9).astype(np.float32), rng.standard_normal(toxicity.GRAM_ODDS).astype(np.float32))
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     ids = rng.integers(0, 12, (5, toxicity.WINDOW))
     ids[:, 10:] = 12
