@@ -9,7 +9,8 @@ the score of its worst window.
 Training is in numpy on a bounded sample of labelled rows (``FIT_TOXIC`` and ``FIT_OTHER`` rows in
 expectation) with back-propagation through time. Labels are of documents, so each round scores all
 windows of the sample and learns from the worst window of each document (multiple instances);
-word vectors start with the shrunken log odds of the word in one component. The model (a few MB,
+word vectors start with the shrunken log odds of the word in one component. Half of the sample
+learns with n-gram odds counted on the other half, as all other texts will meet them. The model (a few MB,
 bounded by MOST_WORDS) goes to the tasks; scoring is one narrow pass in which all windows of a
 chunk step together and input products are taken once per distinct word.
 
@@ -34,12 +35,13 @@ from dustline.llm.common import chunks, remainder, table, texts_of
 
 FIT_TOXIC, FIT_OTHER = 900, 1800
 MOST_WORDS = 30_000  # words with a vector of their own
-LEAST_DOCUMENTS = 3  # of the sample, for a word vector
+LEAST_DOCUMENTS = 10  # of the sample, for a word vector
 WINDOW, STRIDE = 32, 24
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 12, 8, 8, 8
-NGRAMS = (3, 5, 7)  # characters, word ends included
+NGRAMS = (3, 5, 6, 7, 8)  # characters, word ends included
 GRAM_VECTORS, GRAM_ODDS = 1 << 12, 1 << 20
 ROUNDS, BATCH, RATE = 8, 128, 0.01
+DROPPED = 0.5  # share of word vectors left out of a training step, so n-grams have to do
 LEAST_STEPS = 240  # a small sample is gone through several times a round
 MEMORY_WORDS = 120_000
 WORD = re.compile(r"[^\W_]{1,40}")  # a longer run counts as several words
@@ -104,7 +106,7 @@ class Network:
             self.p |= {f"W{d}": small(x, 3 * HIDDEN, s=0.3), f"U{d}": small(HIDDEN, 3 * HIDDEN, s=0.3), f"b{d}": np.zeros(3 * HIDDEN, dtype=np.float32)}
 
     def inputs(self, words: list[str]) -> np.ndarray:
-        known = np.fromiter((self.words.get(w, len(self.words)) for w in words), dtype=np.int64, count=len(words))
+        known = np.fromiter((self.words.get(w, len(self.p["E"]) - 1) for w in words), dtype=np.int64, count=len(words))
         return np.hstack([self.p["E"][known], gram_inputs(words, self.p["C"], self.gram_odds)])
 
     def projected(self, words: list[str]) -> np.ndarray:
@@ -190,7 +192,7 @@ class Network:
         for name, cols in (("f", slice(0, 3 * HIDDEN)), ("b", slice(3 * HIDDEN, 6 * HIDDEN))):
             g[f"W{name}"], g[f"b{name}"] = x.T @ drows[:, cols], drows[:, cols].sum(axis=0)
             dx += drows[:, cols] @ self.p[f"W{name}"].T
-        known = np.fromiter((self.words.get(w, len(self.words)) for w in words), dtype=np.int64, count=len(words))
+        known = np.fromiter((self.words.get(w, len(self.p["E"]) - 1) for w in words), dtype=np.int64, count=len(words))
         g["E"], g["C"] = np.zeros_like(self.p["E"]), np.zeros_like(self.p["C"])
         np.add.at(g["E"], known, dx[:, :WORD_DIM])
         g["E"][-1] = 0
@@ -203,8 +205,8 @@ class Network:
 class Scorer:
     """Worst-window logits of texts; remembers the input products of a bounded number of words."""
 
-    def __init__(self, net: Network):
-        self.net = net
+    def __init__(self, net: Network, memory: float = MEMORY_WORDS):
+        self.net, self.memory = net, memory
         self._reset()
 
     def _reset(self) -> None:
@@ -229,7 +231,7 @@ class Scorer:
 
     def documents(self, texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
         """(worst logit, or nan without words; ids of that window) of each text."""
-        if len(self.ids) > MEMORY_WORDS:
+        if len(self.ids) > self.memory:
             self._reset()
         parts = [self.window_ids(WORD.findall(t.lower())) for t in texts]
         logits = self.window_logits(np.concatenate(parts)) if parts else np.zeros(0)
@@ -259,36 +261,50 @@ def train(texts: list[str], toxic: np.ndarray, rounds: int = ROUNDS, seed: int =
     place = {w: i for i, w in enumerate(every)}
     hashed: list = [None] * len(every)
     for at, h in grams(every):
-        for i, row in zip(at, (h % np.uint64(GRAM_ODDS)).astype(np.int64)):
+        for i, row in zip(at, (h % np.uint64(GRAM_ODDS)).astype(np.int32)):
             hashed[i] = row
-    gram_bad, gram_good = np.zeros(GRAM_ODDS), np.zeros(GRAM_ODDS)
-    for have, y in zip(words, toxic):
+    counted = np.zeros((2, 2, GRAM_ODDS), dtype=np.float32)  # half of the sample, toxic, n-gram
+    half = np.zeros(len(texts), dtype=np.int64)
+    for y in (0, 1):
+        half[toxic == y] = np.arange(int((toxic == y).sum())) % 2
+    for have, y, k in zip(words, toxic, half):
         if have:
-            (gram_bad if y else gram_good)[np.unique(np.concatenate([hashed[place[w]] for w in have]))] += 1
+            counted[k, int(y), np.unique(np.concatenate([hashed[place[w]] for w in have]))] += 1
+    size = lambda k, y: max(1, int(((half == k) & (toxic == y)).sum()))
+    crossed = [log_odds(counted[1 - k, 1], counted[1 - k, 0], size(1 - k, 1), size(1 - k, 0)) for k in (0, 1)]
     frequent = sorted((w for w in every if bad[w] + good[w] >= LEAST_DOCUMENTS), key=lambda w: (-bad[w] - good[w], w))[:MOST_WORDS]
     odds = log_odds(np.array([bad[w] for w in frequent], dtype=np.float64), np.array([good[w] for w in frequent], dtype=np.float64), n_bad, n_good)
-    net = Network({w: i for i, w in enumerate(frequent)}, odds, log_odds(gram_bad, gram_good, n_bad, n_good), seed)
+    net = Network({w: i for i, w in enumerate(frequent)}, odds, log_odds(counted[:, 1].sum(axis=0), counted[:, 0].sum(axis=0), n_bad, n_good), seed)
+    final_odds, all_words = net.gram_odds, net.words
     rng, moment, square, step = np.random.default_rng(seed), {}, {}, 0
     for _ in range(rounds):
-        scorer = Scorer(net)
-        scorer_texts = [scorer.documents(texts[i:i + 200]) for i in range(0, len(texts), 200)]
-        windows = [w for _, where in scorer_texts for w in where]
-        names = list(scorer.ids)
-        order = rng.permutation([i for i, w in enumerate(windows) if w is not None])
-        batches = [order[i:i + BATCH] for i in range(0, len(order), BATCH)]
-        for part in batches * max(1, -(-LEAST_STEPS // max(1, rounds * len(batches)))):
-            ids = np.stack([windows[j] for j in part])
+        work = []
+        for k in (0, 1):
+            net.gram_odds = crossed[k]
+            scorer, mine = Scorer(net, np.inf), np.flatnonzero(half == k)  # the sample is bounded
+            got = [w for i in range(0, len(mine), 200) for w in scorer.documents([texts[j] for j in mine[i:i + 200]])[1]]
+            names, full = list(scorer.ids), [i for i, w in enumerate(got) if w is not None]
+            order = rng.permutation(full)
+            work += [(k, names, [got[j] for j in order[i:i + BATCH]], toxic[mine[order[i:i + BATCH]]]) for i in range(0, len(order), BATCH)]
+        work = [work[i] for i in rng.permutation(len(work))]
+        for k, names, windows, target in work * max(1, -(-LEAST_STEPS // max(1, rounds * len(work)))):
+            net.gram_odds = crossed[k]
+            left = rng.random(len(all_words)) >= DROPPED
+            net.words = {w: i for w, i in all_words.items() if left[i]}
+            ids = np.stack(windows)
             used, local = np.unique(ids, return_inverse=True)
             local = local.reshape(ids.shape)
             if used[0] == -1:  # padding comes last
                 used, local = used[1:], np.where(local == 0, len(used) - 1, local - 1)
             words = [names[j] for j in used]
-            grads = net.gradients(local, words, net.projected(words), toxic[part])
+            grads = net.gradients(local, words, net.projected(words), target)
             step += 1
             for key, g in grads.items():
                 moment[key] = 0.9 * moment.get(key, 0) + 0.1 * g
                 square[key] = 0.999 * square.get(key, 0) + 0.001 * g * g
                 net.p[key] = (net.p[key] - RATE * (moment[key] / (1 - 0.9 ** step)) / (np.sqrt(square[key] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
+        net.words = all_words
+    net.gram_odds = final_odds
     return net
 
 
