@@ -161,6 +161,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets reach the similarity. A centre's set is copied once per SALT_ROWS members."""
+    pairs = stored(pairs, "candidates")  # read three times below
     dealt = pairs.join(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).alias("parts")), "a") \
         .withColumn("salt", F.pmod(F.xxhash64("b"), F.col("parts")))
     members = dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "salt", F.lit(1).alias("role"), "b", "members")
