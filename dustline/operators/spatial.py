@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dustline import params as P
 from dustline.functions import geo
+from dustline.session import shared_dir
 
 
 # ---------------------------------------------------------------- polygons
@@ -43,31 +44,40 @@ def assign_polygon(points: DataFrame, edges: DataFrame, keys: Sequence[str], out
 
 # ---------------------------------------------------------------- nearest polyline
 def distance_to_lines(points: DataFrame, segments: DataFrame, keys: Sequence[str], mean_lat: float,
-                      reach_km: float) -> DataFrame:
-    """Distance (km) to the nearest segment within ``reach_km``, NULL beyond.
+                      first_km: float = 60.0) -> DataFrame:
+    """Distance (km) to the nearest segment; NULL only where there is no segment at all.
 
-    Flat coordinates scaled at ``mean_lat``. Segments are listed in every cell of their
-    padded bounding box, so a point meets only segments that can be in reach.
+    Flat coordinates scaled at ``mean_lat``. Segments are listed in every cell of their padded
+    bounding box, so a point meets all segments within a cell's size. Points that have none so
+    near go on to cells twice as large, starting from ``first_km``, until all have met one.
     """
-    k = math.cos(math.radians(mean_lat))
-    size = reach_km / P.KM_PER_DEG
-
-    def cell(x: Column) -> Column:
-        return F.floor(x / size).cast("long")
-
+    shared_dir(points.sparkSession)
+    keys, k = list(keys), math.cos(math.radians(mean_lat))
     xs = segments.select((F.col("x1") * k).alias("ax"), F.col("y1").alias("ay"), (F.col("x2") * k).alias("bx"),
                          F.col("y2").alias("by"))
-    listed = (xs.withColumn("_ci", F.explode(F.sequence(cell(F.least("ay", "by") - size), cell(F.greatest("ay", "by") + size))))
-              .withColumn("_cj", F.explode(F.sequence(cell(F.least("ax", "bx") - size), cell(F.greatest("ax", "bx") + size)))))
-    placed = (points.withColumn("_px", F.col("lon") * k).withColumn("_py", F.col("lat"))
-              .withColumn("_ci", cell(F.col("_py"))).withColumn("_cj", cell(F.col("_px"))))
+    left = points.select(*keys, (F.col("lon") * k).alias("_px"), F.col("lat").alias("_py"))
     vx, vy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
     along = F.try_divide((F.col("_px") - F.col("ax")) * vx + (F.col("_py") - F.col("ay")) * vy, vx * vx + vy * vy)
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0))))
     d = F.hypot(F.col("_px") - (F.col("ax") + t * vx), F.col("_py") - (F.col("ay") + t * vy)) * P.KM_PER_DEG
-    best = (placed.join(listed, ["_ci", "_cj"]).groupBy(*keys).agg(F.min(d).alias("_d"))
-            .where(F.col("_d") <= reach_km))
-    return points.join(best, list(keys), "left").withColumnRenamed("_d", "dist_line_km")
+    found, reach_km = None, first_km
+    while True:
+        size = reach_km / P.KM_PER_DEG
+        whole = size > 720  # wider than any two points: everything is near
+
+        def cell(x: Column) -> Column:
+            return F.lit(0).cast("long") if whole else F.floor(x / size).cast("long")
+
+        listed = (xs.withColumn("_ci", F.explode(F.sequence(cell(F.least("ay", "by") - size), cell(F.greatest("ay", "by") + size))))
+                  .withColumn("_cj", F.explode(F.sequence(cell(F.least("ax", "bx") - size), cell(F.greatest("ax", "bx") + size)))))
+        placed = left.withColumn("_ci", cell(F.col("_py"))).withColumn("_cj", cell(F.col("_px")))
+        best = placed.join(listed, ["_ci", "_cj"]).groupBy(*keys).agg(F.min(d).alias("_d"))
+        best = (best if whole else best.where(F.col("_d") <= reach_km)).checkpoint()
+        found = best if found is None else found.unionByName(best)
+        left = left.join(best.select(*keys), keys, "left_anti").where("_px is not null and _py is not null")
+        if whole or left.isEmpty():
+            return points.join(found, keys, "left").withColumnRenamed("_d", "dist_line_km")
+        reach_km *= 2
 
 
 # ---------------------------------------------------------------- roads

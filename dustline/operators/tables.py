@@ -57,7 +57,7 @@ def complete_dates(nodes: DataFrame, expected: int) -> DataFrame:
 
 
 def anti_pairs(df: DataFrame, pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(F.broadcast(pairs), list(keys), "left_anti")
+    return df.join(pairs, list(keys), "left_anti")
 
 
 def clip_to_axis(df: DataFrame, axis: DataFrame, date: str = "date") -> DataFrame:

@@ -47,11 +47,11 @@ LINES = "segs AS (SELECT lon AS x1, lat AS y1, lon + 0.31 AS x2, lat + 0.17 AS y
 @query("L17", X.with_(X.STATIONS, CSPOTS, LINES) + f""", s AS (SELECT x1 * k AS ax, y1 AS ay, x2 * k AS bx, y2 AS by_ FROM segs, (SELECT cos(radians(8.0::DOUBLE)) AS k)),
 d AS (SELECT cell, min(sqrt(power(px - (ax + t * (bx - ax)), 2) + power(py - (ay + t * (by_ - ay)), 2))) * 111.32 AS d FROM (SELECT *, least(greatest(((px - ax) * (bx - ax) + (py - ay) * (by_ - ay)) / (power(bx - ax, 2) + power(by_ - ay, 2)), 0), 1) AS t
   FROM (SELECT cell, lon * cos(radians(8.0::DOUBLE)) AS px, lat AS py FROM spots), s) GROUP BY cell)
-SELECT cell, {sr('CASE WHEN d <= 60 THEN d END','dist_line_km')} FROM d""")
+SELECT cell, {sr('d','dist_line_km')} FROM d""")
 def distance_to_coastline(spark, sf):
     st = X.stations(spark, sf)
     segs = st.select(F.col("lon").alias("x1"), F.col("lat").alias("y1"), (F.col("lon") + 0.31).alias("x2"), (F.col("lat") + 0.17).alias("y2"))
-    return spatial.distance_to_lines(cell_spots(spark, sf), segs, ["cell"], 8.0, 60.0).select("cell", r("dist_line_km"))
+    return spatial.distance_to_lines(cell_spots(spark, sf), segs, ["cell"], 8.0).select("cell", r("dist_line_km"))
 
 
 ROADS = "roads AS (SELECT lon AS x1, lat AS y1, lon + ((cell % 7) - 3) * 0.013 AS x2, lat + ((cell % 5) - 2) * 0.011 AS y2 FROM spots)"
@@ -76,10 +76,10 @@ def customer_grid(spark, sf):
     return X.table(spark, sf, "customer").select(F.floor(F.col("c_custkey") / 50).alias("row"), F.pmod("c_custkey", F.lit(50)).alias("col"), F.col("c_acctbal").alias("v"))
 
 
-@query("L16", X.with_(GRID) + f"SELECT a.row, a.col, {sr('least(coalesce(min(sqrt(power(a.row - b.row, 2) + power(a.col - b.col, 2))) * 1.1132, 12.0), 12.0)','dist_road')} FROM grid a LEFT JOIN grid b ON b.v > 9800 AND abs(a.row - b.row) <= 11 AND abs(a.col - b.col) <= 60 GROUP BY ALL")
+@query("L16", X.with_(GRID) + f"SELECT a.row, a.col, {sr('least(coalesce(min(sqrt(power(a.row - b.row, 2) + power(a.col - b.col, 2))) * 1.1132, 100.0), 100.0)','dist_road')} FROM grid a LEFT JOIN grid b ON b.v > 9800 GROUP BY ALL")
 def distance_to_road_cell(spark, sf):
     g = customer_grid(spark, sf)
-    return spatial.nearest_occupied_cell(g, g.where("v > 9800"), cap_km=12.0).select("row", "col", r("dist_road"))
+    return spatial.nearest_occupied_cell(g, g.where("v > 9800"), cap_km=100.0).select("row", "col", r("dist_road"))
 
 
 def _smooth_sql(km: float, alias: str) -> str:

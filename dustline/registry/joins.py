@@ -165,7 +165,7 @@ def nearest_lattice_node(spark, sf):
 @query("D19 L9 F7 J9 E18", X.with_(X.MET) + f""", fc AS (SELECT lat, lon, date, t2m * 0.9 + 1.5 + (i % 3) AS t2m, rh + 5.0 + day(date) % 4 AS rh, precip * 1.3 AS precip FROM met),
 an AS (SELECT * FROM met WHERE date <= DATE '2024-02-15'),
 fit AS (SELECT f.lat, f.lon, count(*) AS n, regr_slope(a.t2m, f.t2m) AS bt, regr_intercept(a.t2m, f.t2m) AS at_, regr_slope(a.rh, f.rh) AS br, regr_intercept(a.rh, f.rh) AS ar,
-  (sum(a.precip) + 1) / (sum(f.precip) + 1) AS k, stddev_pop(f.t2m) AS st, stddev_pop(f.rh) AS sr_ FROM fc f JOIN an a USING (lat, lon, date) GROUP BY ALL),
+  (sum(a.precip) + 1) / (sum(f.precip) + 1) AS k, stddev_pop(f.t2m) AS st, stddev_pop(f.rh) AS sr_ FROM fc f JOIN an a USING (lat, lon, date) WHERE f.date >= DATE '2024-02-15' - 45 GROUP BY ALL),
 aod AS (SELECT lat, lon, avg(merra_aod) AS merra_aod FROM (SELECT *, row_number() OVER (PARTITION BY lat, lon ORDER BY date DESC) AS rn FROM an) WHERE rn <= 3 GROUP BY ALL)
 SELECT round(f.lat, 3) AS lat, round(f.lon, 3) AS lon, f.date, {sr('CASE WHEN n >= 15 AND st > 1e-6 THEN at_ + bt * f.t2m ELSE f.t2m END','t2m')}, {sr('CASE WHEN n >= 15 AND sr_ > 1e-6 THEN ar + br * f.rh ELSE f.rh END','rh')},
  {sr('CASE WHEN n >= 15 THEN f.precip * k ELSE f.precip END','precip')}, {sr('merra_aod','merra_aod',6)}, 'ifs_adjusted' AS source

@@ -25,7 +25,7 @@ def rounded(*keys):
     return [*keys, "n", *[r(c) for c in SCORE_NAMES]]
 
 
-@query("E13 M17", BASE + f"SELECT fold, {scores_sql('pm25', 'cams_pm25')} FROM predictions GROUP BY fold")
+@query("E13", BASE + f"SELECT fold, {scores_sql('pm25', 'cams_pm25')} FROM predictions GROUP BY fold")
 def prediction_scores(spark, sf):
     return X.predictions(spark, sf).groupBy("fold").agg(*scores(F.col("pm25"), F.col("cams_pm25"))).select(*rounded("fold"))
 
@@ -97,7 +97,7 @@ _MEAN = "(" + " + ".join(f"CASE WHEN mask & {1 << k} <> 0 THEN {n} ELSE 0 END" f
 s AS (SELECT mask, avg(r2) AS mean_r2 FROM (SELECT mask, fold, 1 - sum((p - pm25) * (p - pm25)) / (var_pop(pm25) * count(*)) AS r2 FROM t GROUP BY ALL) GROUP BY mask)
 SELECT mask, {sr('mean_r2','mean_r2')} FROM s ORDER BY s.mean_r2 DESC LIMIT 5""")
 def ensemble_candidates(spark, sf):
-    ranked = V.rank_subsets(X.predictions(spark, sf), "pm25", LEARN, ["fold"]).orderBy(F.col("mean_r2").desc()).limit(5)
+    ranked = V.rank_subsets(X.predictions(spark, sf), "pm25", LEARN, ["fold"]).orderBy(F.col("mean_r2").desc(), "mask").limit(5)
     return ranked.select("mask", r("mean_r2"))
 
 
@@ -140,7 +140,7 @@ def reference_site_bias(spark, sf):
     return g.join(q, ["site_id", "month"]).select("site_id", "month", "n", r("obs"), r("cams"), r("ratio"))
 
 
-@query("N13 M9", BASE + f"SELECT {sr('1 - sqrt(avg(power(exp(lgbm) - pm25, 2))) / sqrt(avg(power(cams_pm25 - pm25, 2)))','rmse_gain')}, {sr('greatest(' + ', '.join(f'1 - sum(power({m} - y, 2)) / (var_pop(y) * count(*))' for m in LEARN) + ')','best_r2')}, count(*) AS n FROM predictions")
+@query("N13", BASE + f"SELECT {sr('1 - sqrt(avg(power(exp(lgbm) - pm25, 2))) / sqrt(avg(power(cams_pm25 - pm25, 2)))','rmse_gain')}, {sr('greatest(' + ', '.join(f'1 - sum(power({m} - y, 2)) / (var_pop(y) * count(*))' for m in LEARN) + ')','best_r2')}, count(*) AS n FROM predictions")
 def headline_gain(spark, sf):
     p = X.predictions(spark, sf)
     e, b = F.exp("lgbm") - F.col("pm25"), F.col("cams_pm25") - F.col("pm25")

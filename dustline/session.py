@@ -42,13 +42,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    The setting is made here only where the session has none, which is the case in
-    single-machine tests.
+    Where the session has none, a local master (single-machine tests) gets a temporary folder;
+    a cluster must name one, as a folder of one machine would lose data with that machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(configured)
         spark.conf.set("spark.checkpoint.dir", configured)

@@ -27,7 +27,7 @@ def read_archive(spark: SparkSession, base: str, start: str, parameters: Sequenc
     """
     raw = (spark.read.schema(ARCHIVE_SCHEMA).option("header", True).option("mode", "DROPMALFORMED")
            .csv(base))
-    day = F.regexp_extract(F.col("_metadata.file_path"), r"-(\d{8})[^/]*\.csv\.gz$", 1)
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"-(\d{8})\.csv\.gz$", 1)
     first = start.replace("-", "")
     months = F.col("year").cast("int") * 100 + F.col("month").cast("int")
     return (raw.where((months >= int(first[:6])) & ((day == "") | (day >= first)))
@@ -52,7 +52,7 @@ def read_reference(spark: SparkSession, glob: str) -> DataFrame:
                         F.regexp_extract(path, label, 2).alias("file_year"),
                         F.regexp_extract(path, label, 3).contains("YTD").alias("is_ytd"))
     has_ytd = (tagged.where("is_ytd").select("city", "file_year").distinct().withColumn("_y", F.lit(True)))
-    used = (tagged.join(F.broadcast(has_ytd), ["city", "file_year"], "left")
+    used = (tagged.join(has_ytd, ["city", "file_year"], "left")
             .where(F.col("is_ytd") | F.col("_y").isNull()))
     valid = used.where(F.lower(F.trim("QC Name")) == "valid")
     number = [F.col(c).try_cast("int") for c in ("Year", "Month", "Day", "Hour")]

@@ -1,6 +1,7 @@
 """Hand-checked cases and comparisons with brute force on small fixtures."""
 
 import datetime as dt
+import math
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,9 @@ from dustline.functions import geo
 from dustline.functions import scalars as S
 from dustline.functions.quantiles import conformal_quantile, exact_quantiles
 from dustline.operators import calibration, clusters, exposure, fires, kriging, lattice, learning, neighbours, qc, spatial, tables
+from dustline.plans import experiments
 from dustline.sinks import products
+from dustline.sources import ground
 
 
 def one(spark, expr):
@@ -252,3 +255,51 @@ def test_smoothing_matches_direct_filter(spark):
         want = np.apply_along_axis(lambda v: np.convolve(v, w, "valid"), axis, pad)
     got = spatial.gaussian_smooth(df, ["v"], 3.0, 30, 20, block=8).orderBy("row", "col").toPandas().v.to_numpy().reshape(30, 20)
     assert got == pytest.approx(want, abs=1e-9)
+
+
+# ---- folds, lines, dates, humidity -------------------------------------------
+def test_group_folds_equal_greedy_packing_beyond_any_number_of_groups(spark):
+    rng = np.random.default_rng(3)
+    sizes = {g: int(n) for g, n in enumerate(rng.choice([1, 1, 1, 2, 3, 7, 40], 6000))} | {9000: 2500, 9001: 30}
+    loads, want = [0] * 5, {}
+    for g, n in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        want[g] = loads.index(min(loads))
+        loads[want[g]] += n
+    df = spark.createDataFrame([(g,) for g, n in sizes.items() for _ in range(n)], "g long")
+    got = {r["g"]: r["fold"] for r in learning.group_folds(df, "g", 5).distinct().collect()}
+    assert got == want
+
+
+def test_every_point_has_a_distance_to_the_lines(spark):
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.0, 0.6), (3, 0.0, 25.0), (4, -60.0, -170.0)], "cell long, lat double, lon double")
+    lines = spark.createDataFrame([(0.0, -1.0, 0.0, 1.0)], "x1 double, y1 double, x2 double, y2 double")
+    got = {r["cell"]: r["dist_line_km"] for r in spatial.distance_to_lines(points, lines, ["cell"], 0.0).collect()}
+    assert got[1] == 0 and abs(got[2] / 111.32 - 0.6) < 1e-6 and abs(got[3] / 111.32 - 25) < 1e-6
+    assert abs(got[4] / 111.32 - math.hypot(170, 59)) < 1e-6
+    none = spatial.distance_to_lines(points, lines.limit(0), ["cell"], 0.0).collect()
+    assert len(none) == 4 and all(r["dist_line_km"] is None for r in none)
+
+
+def test_archive_dates_come_only_from_the_end_of_a_name(spark, tmp_path):
+    import gzip
+    folder = tmp_path / "locationid=7" / "year=2024" / "month=01"
+    folder.mkdir(parents=True)
+    head = "location_id,sensors_id,location,datetime,lat,lon,parameter,units,value\n"
+    names = {"part-00000-12345678-1111-2222-3333-444444444444.c000.csv.gz": 1.0, "location-7-20240105.csv.gz": 2.0, "location-7-20240115.csv.gz": 3.0}
+    for name, value in names.items():
+        with gzip.open(folder / name, "wt") as f:
+            f.write(head + f"7,9,x,2024-01-20T00:00:00+00:00,5.0,0.0,pm25,ug,{value}\n")
+    got = sorted(r["value"] for r in ground.read_archive(spark, str(tmp_path), "2024-01-11").collect())
+    assert got == [1.0, 3.0]
+
+
+def test_humidity_source_matters_for_the_log_linear_correction(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(240):
+        rh, x = float(rng.uniform(20, 95)), float(rng.uniform(5, 80))
+        rows.append((f"s{i % 4}", "net", dt.date(2023, 1 + i % 12, 1 + i % 28), x, x * float(np.exp(-0.8 * rh / 100 + 0.05 * rng.standard_normal())), rh, float(rng.uniform(20, 95))))
+    df = spark.createDataFrame(rows, "site_id string, network string, date date, pm25 double, pm25_ref double, good double, noise double")
+    got = {(r["kind"], r["humidity"]): r["rmse"] for r in experiments.humidity_comparison(df, ["good", "noise"]).where("key = 'net'").collect()}
+    assert set(got) == {("identity", "none"), ("ratio", "good"), ("ratio", "noise"), ("loglinear", "good"), ("loglinear", "noise")}
+    assert got[("loglinear", "good")] < got[("loglinear", "noise")] < got[("identity", "none")]

@@ -47,7 +47,7 @@ def main():
     a = ap.parse_args()
     os.environ["TZ"] = "UTC"
     time.tzset()
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
+    spark = build_session("check", os.environ.get("CHECK_MASTER", "local[8]"), **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
                                                   "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.host": "127.0.0.1"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
