@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dustline.llm.common import table
+from dustline.llm.spans import let
 
 KNOWN_ROWS = 100_000
 
@@ -86,7 +87,7 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     forms = known.select("licence", F.trim(F.regexp_replace(canonical(F.col("text")), r"\n+", " ")).alias("form")).where("form <> ''")
     digests = forms.select("licence", F.sha2("form", 256).alias("digest")).distinct()
     longest = forms.agg(F.max(F.char_length("form"))).first()[0] or 0
-    found = docs.select("doc_id", F.explode(F.filter(units(canonical(F.col("text"))), lambda u: F.char_length(u["unit"]).between(1, longest))).alias("u"))
+    found = docs.select("doc_id", F.explode(let(canonical(F.col("text")), lambda form: F.filter(units(form), lambda u: F.char_length(u["unit"]).between(1, longest)))).alias("u"))
     found = found.select("doc_id", F.col("u.scope").alias("scope"), F.sha2(F.col("u.unit"), 256).alias("digest"))
     small = digests.limit(KNOWN_ROWS + 1).count() <= KNOWN_ROWS
     return found.join(F.broadcast(digests) if small else digests, "digest").groupBy("doc_id", "licence", "scope").agg(F.count(F.lit(1)).alias("n"))
