@@ -172,10 +172,10 @@ def cube_upsert(spark, sf):
     return K.read_days(spark, path).select("date", "row", "col", r("pm25"))
 
 
-@query("B14 H4", X.with_(X.CELLS, X.PRODUCT) + f"""SELECT date, cell, {sr('v','pm25')} FROM (SELECT date, cell, pm25 AS v FROM product WHERE year(date) = 1998 AND day(date) > 10
- UNION ALL SELECT date, cell, pm25 + 100 FROM product p WHERE year(date) = 1998 AND NOT EXISTS (SELECT 1 FROM product l WHERE l.date = p.date AND year(l.date) = 1998 AND day(l.date) > 10))""")
+@query("B14 H4", X.with_(X.CELLS, X.PRODUCT) + f"""SELECT date, cell, {sr('v','pm25')} FROM (SELECT date, cell, pm25 AS v FROM product WHERE day(date) > 10
+ UNION ALL SELECT date, cell, pm25 + 100 FROM product p WHERE NOT EXISTS (SELECT 1 FROM product l WHERE l.date = p.date AND day(l.date) > 10))""")
 def restored_missing_days(spark, sf):
-    p = X.product(spark, sf).where(F.year("date") == 1998).select("date", "cell", "pm25")
+    p = X.product(spark, sf).select("date", "cell", "pm25")
     local = p.where(F.day("date") > 10)
     out = tables.append_missing(local, p.withColumn("pm25", F.col("pm25") + 100), ["date"])
     return out.select("date", "cell", r("pm25"))
