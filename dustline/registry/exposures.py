@@ -36,14 +36,13 @@ def annual_national_exposure(spark, sf):
     return a.select("year", "days", r("pop_weighted_mean"), "days_gt35", r("mean_pop_frac_gt15"), r("mean_pop_frac_gt35"))
 
 
-YEARS = list(range(1995, 2002))
-
-
-@query("E24 N8", STATS + "SELECT id, " + ", ".join(f"round(avg(pop_weighted) FILTER (year(date) = {y}) + {X.NUDGE}, 4) + 0.0 AS y{y}" for y in YEARS) + " FROM stats WHERE level = 'adm1' GROUP BY id")
+@query("E24 N8", STATS.rstrip() + f""", t AS (SELECT id, 'y' || year(date) AS y, pop_weighted FROM stats WHERE level = 'adm1')
+SELECT * FROM (PIVOT t ON y USING round(avg(pop_weighted) + {X.NUDGE}, 4) + 0.0 GROUP BY id)""")
 def region_year_means(spark, sf):
+    """One column per year that occurs in the data."""
     s = stats(spark, sf).where("level = 'adm1'")
-    p = s.withColumn("y", F.year("date")).groupBy("id").pivot("y", YEARS)
-    return p.agg(F.avg("pop_weighted")).select("id", *[r(F.col(f"`{y}`"), alias=f"y{y}") for y in YEARS])
+    s = s.withColumn("y", F.concat(F.lit("y"), F.year("date")))
+    return s.groupBy("id").pivot("y").agg(F.round(F.avg("pop_weighted") + X.NUDGE, 4) + F.lit(0.0))
 
 
 _NORTH = "('AFRICA', 'ASIA')"

@@ -37,24 +37,52 @@ class UpsertLog:
     """Keep-last table fed by micro-batches.
 
     A batch is written to its own folder, named by its id, so a replay rewrites the same
-    folder and changes nothing. Reading keeps, per key, the row of the latest batch.
-    ``compact`` folds the log into one batch.
+    folder and changes nothing. Reading keeps, per key, the row of the latest batch. After
+    every ``compact_every`` batches the log is folded into a base: a folder of its own that
+    counts only once its success mark is there, so a reader sees the old state or the new.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
-        self.spark, self.path, self.keys = spark, path, list(keys)
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], compact_every: int = 20):
+        self.spark, self.path, self.keys, self.compact_every = spark, path, list(keys), compact_every
+
+    def _ids(self, kind: str) -> list[int]:
+        """Ids of the finished folders ``<kind>=<id>``, in order."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        found = [x.getPath() for x in fs.listStatus(root) if x.getPath().getName().startswith(f"{kind}=")]
+        return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+    def _pending(self) -> tuple[int | None, list[int]]:
+        base = max(self._ids("base"), default=None)
+        return base, [i for i in self._ids("batch_id") if base is None or i > base]
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
+        if batch_id <= max(self._ids("base"), default=-1):
+            return  # a replay of a batch that the base holds already
         batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        if len(self._pending()[1]) >= self.compact_every:
+            self.compact()
+
+    def _log(self) -> DataFrame:
+        base, pending = self._pending()
+        parts = [self.spark.read.parquet(f"{self.path}/batch_id={i}").withColumn("batch_id", F.lit(i)) for i in pending]
+        if base is not None:
+            parts.insert(0, self.spark.read.parquet(f"{self.path}/base={base}").withColumn("batch_id", F.lit(base)))
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
 
     def read(self) -> DataFrame:
-        log = self.spark.read.parquet(self.path)
-        return tables.keep_last(log, self.keys, F.col("batch_id")).drop("batch_id")
+        return tables.keep_last(self._log(), self.keys, F.col("batch_id")).drop("batch_id")
 
-    def compact(self, path: str) -> "UpsertLog":
-        out = UpsertLog(self.spark, path, self.keys)
-        out.write(self.read(), 0)
-        return out
+    def compact(self) -> None:
+        """Folds all finished batches into a new base. Folders it replaces stay for readers that still hold them."""
+        pending = self._pending()[1]
+        if pending:
+            self.read().write.mode("overwrite").parquet(f"{self.path}/base={max(pending)}")
 
 
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None] | str, mode: str, checkpoint: str) -> None:

@@ -303,3 +303,13 @@ def test_humidity_source_matters_for_the_log_linear_correction(spark):
     got = {(r["kind"], r["humidity"]): r["rmse"] for r in experiments.humidity_comparison(df, ["good", "noise"]).where("key = 'net'").collect()}
     assert set(got) == {("identity", "none"), ("ratio", "good"), ("ratio", "noise"), ("loglinear", "good"), ("loglinear", "noise")}
     assert got[("loglinear", "good")] < got[("loglinear", "noise")] < got[("identity", "none")]
+
+
+def test_upsert_log_compacts_itself(spark, tmp_path):
+    from dustline.streaming.ingest import UpsertLog
+    log = UpsertLog(spark, str(tmp_path / "log"), ["k"], compact_every=3)
+    for i in range(7):
+        log.write(spark.createDataFrame([(0, i), (i + 10, i)], "k int, v int"), i)
+    log.write(spark.createDataFrame([(0, 99)], "k int, v int"), 1)  # a late replay changes nothing
+    assert log._ids("base") == [2, 5] and log._pending() == (5, [6])
+    assert {r["k"]: r["v"] for r in log.read().collect()} == {0: 6, **{i + 10: i for i in range(7)}}
