@@ -79,7 +79,8 @@ def units(form: Column) -> Column:
 
 
 def known_table(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    return spark.createDataFrame(list(known), "licence string, text string")
+    rows = F.array(*(F.struct(F.lit(name).alias("licence"), F.lit(text).alias("text")) for name, text in known))
+    return spark.range(1).select(F.inline(rows))
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
