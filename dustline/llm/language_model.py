@@ -11,9 +11,10 @@ words never seen, so probabilities sum to one over the vocabulary.
 
 * Counts: one pass over all texts, words counted in the tasks, then by one aggregation. The table
   grows with the corpus and stays on the cluster.
-* Training: ROUNDS synchronous rounds over a bounded sample of training documents
-  (``FIT_DOCUMENTS`` in expectation) in SHARDS shards. Each shard takes gradient steps from the
-  shared weights; the changes are averaged by blocks of weights on the executors.
+* Training: ROUNDS synchronous rounds over all training documents. A shard is a group of input
+  partitions; it takes gradient steps from the shared weights over its own texts, chunk by chunk,
+  and the changes are averaged by blocks of weights on the executors. Texts never move. The feature
+  table grows with the square root of the corpus (``feature_rows``), as it goes with every task.
 * Scoring: one pass over all texts in sparse numpy batches. Counts of the most frequent words
   (at most HEAD_WORDS) go with the tasks; the other words of a document meet the count table in a
   join by word, and only their sums come back to the document.
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from copy import copy
 from itertools import count
 
 import numpy as np
@@ -39,8 +41,8 @@ from pyspark.sql import functions as F
 from dustline.llm.common import chunks, mix, remainder, segment_sums, stored, texts_of
 
 CLASSES = GROUPS = 32
-FEATURE_ROWS = 1 << 14
-FIT_DOCUMENTS, SHARDS, ROUNDS = 3_000, 8, 3
+FEATURE_ROWS = 1 << 14  # at least
+SHARDS, SHARD_TOKENS, ROUNDS = 12, 1 << 26, 3
 BATCH, RATE = 2_048, 0.15
 HEAD_WORDS = 50_000
 FLUSH_WORDS = 200_000
@@ -103,10 +105,15 @@ def features(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return f
 
 
-def _rows(f: np.ndarray, classes: np.ndarray | None = None) -> np.ndarray:
+def feature_rows(tokens: float) -> int:
+    """Rows of a table of weights for a corpus: the power of two at or above four times the root of its tokens."""
+    return max(FEATURE_ROWS, 1 << int(np.ceil(np.log2(4 * np.sqrt(max(1.0, tokens))))))
+
+
+def _rows(f: np.ndarray, size: int, classes: np.ndarray | None = None) -> np.ndarray:
     if classes is not None:
         f = mix(f + (classes.astype(np.uint64) * np.uint64(0x165667B19E3779F9))[:, None])
-    return (f % np.uint64(FEATURE_ROWS)).astype(np.int64)
+    return (f & np.uint64(size - 1)).astype(np.int64)
 
 
 def _log_softmax(table: np.ndarray, rows: np.ndarray, offset: np.ndarray) -> np.ndarray:
@@ -125,7 +132,9 @@ class Model:
         mass = group_mass.reshape(CLASSES, GROUPS)
         self.class_offset = np.log(mass.sum(axis=1) / mass.sum()).astype(np.float32)
         self.group_offset = np.log(mass / mass.sum(axis=1, keepdims=True)).astype(np.float32)
-        self.tables = [np.zeros((FEATURE_ROWS, n), dtype=np.float32) for n in (CLASSES, GROUPS)]
+        self.tokens = mass.sum()
+        self.size = feature_rows(self.tokens)
+        self.tables = [np.zeros((self.size, n), dtype=np.float32) for n in (CLASSES, GROUPS)]
 
     def log10_group(self, f: np.ndarray, group: np.ndarray) -> np.ndarray:
         """log10 P(group | context) of each token."""
@@ -134,8 +143,8 @@ class Model:
             c, g = np.divmod(group[i:i + BATCH], GROUPS)
             k = at[:len(c)]
             part = f[i:i + BATCH]
-            out[i:i + BATCH] = (_log_softmax(self.tables[0], _rows(part), self.class_offset)[k, c]
-                                + _log_softmax(self.tables[1], _rows(part[:, :2], c), self.group_offset[c])[k, g])
+            out[i:i + BATCH] = (_log_softmax(self.tables[0], _rows(part, self.size), self.class_offset)[k, c]
+                                + _log_softmax(self.tables[1], _rows(part[:, :2], self.size, c), self.group_offset[c])[k, g])
         return out / np.log(10)
 
     def learn(self, f: np.ndarray, group: np.ndarray, rng: np.random.Generator) -> None:
@@ -145,15 +154,17 @@ class Model:
             pick = order[i:i + BATCH]
             c, g = np.divmod(group[pick], GROUPS)
             k = np.arange(len(pick))
-            for table, rows, offset, right in ((self.tables[0], _rows(f[pick]), self.class_offset, c),
-                                               (self.tables[1], _rows(f[pick][:, :2], c), self.group_offset[c], g)):
-                grad = np.exp(_log_softmax(table, rows, offset))
+            for table, rows, offset, right in ((self.tables[0], _rows(f[pick], self.size), self.class_offset, c),
+                                               (self.tables[1], _rows(f[pick][:, :2], self.size, c), self.group_offset[c], g)):
+                grad = _log_softmax(table, rows, offset)
+                np.exp(grad, out=grad)
                 grad[k, right] -= 1
+                grad *= np.float32(-RATE)
+                columns = np.arange(table.shape[1])
                 for j in range(rows.shape[1]):
-                    used, where, times = np.unique(rows[:, j], return_inverse=True, return_counts=True)
-                    by = np.argsort(where, kind="stable")
-                    total = np.add.reduceat(grad[by], np.concatenate(([0], np.cumsum(times)[:-1])), axis=0)
-                    table[used] -= RATE * total / np.sqrt(times)[:, None]
+                    row = rows[:, j]
+                    change = grad / np.sqrt(np.bincount(row, minlength=self.size)[row], dtype=np.float32)[:, None]
+                    np.add.at(table.reshape(-1), (row[:, None] * table.shape[1] + columns).reshape(-1), change.reshape(-1))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -192,19 +203,20 @@ def head_of(counts: DataFrame, most: int = HEAD_WORDS) -> dict[bytes, int]:
 
 def _shard(model: Model, turn: int) -> callable:
     """Gradient steps of one shard from the shared weights; gives the change of every block of weights."""
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        local = Model(np.ones(CLASSES * GROUPS))
-        local.class_offset, local.group_offset = model.class_offset, model.group_offset
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        local, tokens, rng, seen = copy(model), Tokens(), np.random.default_rng(turn), False
         local.tables = [t.copy() for t in model.tables]
-        tokens = Tokens()
-        ids, counts = tokens.read(sorted((t or "").encode() for t in rows["text"]))
-        h = tokens.hashes[ids]
-        local.learn(features(h, counts), group_of(h), np.random.default_rng(turn))
-        out = []
-        for level, (new, old) in enumerate(zip(local.tables, model.tables)):
-            for at in range(0, FEATURE_ROWS, BLOCK):
-                out.append((level * FEATURE_ROWS + at, (new[at:at + BLOCK] - old[at:at + BLOCK]).tobytes()))
-        return pd.DataFrame(out, columns=["block", "change"])
+        for batch in chunks(batches):
+            if len(tokens.ids) > MEMORY_WORDS:
+                tokens.reset()
+            ids, counts = tokens.read(texts_of(batch))
+            h = tokens.hashes[ids]
+            local.learn(features(h, counts), group_of(h), rng)
+            seen = True
+        for level, (new, old) in enumerate(zip(local.tables, model.tables) if seen else ()):
+            for at in range(0, model.size, BLOCK):
+                change = (new[at:at + BLOCK] - old[at:at + BLOCK]).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([level * model.size + at], pa.int32()), pa.array([change], pa.binary())], names=["block", "change"])
 
     return run
 
@@ -216,19 +228,15 @@ def _mean(blocks: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": blocks["block"].iloc[:1].to_list(), "change": [(parts.sum(axis=0) / seen[:, None]).astype(np.float32).tobytes()]})
 
 
-def trained(docs: DataFrame, model: Model, fit_documents: int = FIT_DOCUMENTS, rounds: int = ROUNDS) -> Model:
-    """``model`` with weights learned from a bounded sample of ``docs`` (doc_id, text)."""
-    total = docs.count()
-    share = int((1 << 20) * min(1.0, fit_documents / max(1, total)))
-    pick = F.xxhash64("doc_id", F.lit("language model"))
-    sample = docs.where(F.pmod(pick, F.lit(1 << 20)) < share).select(F.pmod(F.shiftright(pick, 20), F.lit(SHARDS)).cast("int").alias("shard"),
-                                                                     F.col("text").cast("string").alias("text"))
-    sample = stored(sample, "model-sample")
+def trained(docs: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
+    """``model`` with weights learned from every row of ``docs`` (text)."""
+    shards = max(SHARDS, -(-int(model.tokens) // SHARD_TOKENS))
+    texts = docs.select(F.col("text").cast("string").alias("text")).coalesce(shards)
     for turn in range(rounds):
-        got = sample.groupBy("shard").applyInPandas(_shard(model, turn), "block int, change binary").groupBy("block").applyInPandas(_mean, "block int, change binary").collect()
+        got = texts.mapInArrow(_shard(model, turn), "block int, change binary").groupBy("block").applyInPandas(_mean, "block int, change binary").collect()
         tables = [t.copy() for t in model.tables]
         for r in got:
-            level, at = divmod(r["block"], FEATURE_ROWS)
+            level, at = divmod(r["block"], model.size)
             tables[level][at:at + BLOCK] += np.frombuffer(r["change"], dtype=np.float32).reshape(BLOCK, -1)
         model.tables = tables
     return model

@@ -183,6 +183,14 @@ def test_language_model_beats_the_base_and_sums_to_one(spark):
     assert language_model.score(df.limit(0), language_model.remainder("doc_id", 10) != 0).count() == 0
 
 
+def test_language_model_learns_from_every_document(spark):
+    docs = spark.range(12000, numPartitions=5).selectExpr("id AS doc_id", "concat('w', id) AS text")
+    got = language_model.trained(docs, language_model.Model(np.ones(1024)), rounds=1)
+    # about 24,000 contexts in 16,384 rows of weights; 3,000 documents reach under a third of them
+    assert (got.tables[0] != 0).any(axis=1).mean() > 0.7
+    assert language_model.feature_rows(1e6) == language_model.FEATURE_ROWS < language_model.feature_rows(1e8) < language_model.feature_rows(1e10)
+
+
 # ---- licences ----------------------------------------------------------------
 def test_licences(spark):
     mit = [t for k, t in licences.KNOWN if k == "MIT"][-1]
