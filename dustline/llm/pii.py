@@ -3,13 +3,14 @@
 Exact patterns with their checks give the base spans, which always stay. High-recall generators
 propose further, overlapping spans: obfuscated addresses, dotted or coloured host numbers, grouped
 digits with or without a plus sign. Boosted trees score every proposal from its format and from the
-words around it; the scores are calibrated per kind on rows the trees have not seen, and proposals
-above the threshold that touch no base span are added.
-
-The trees learn from proposals that are base spans against those that are not, on a bounded sample
-of documents (``FIT_DOCUMENTS`` in expectation, chosen by a hash of the id). The checks themselves
-(digit sum, octet size, plus sign) are not features, so what looks like a base span in form and
-context scores alike. The fitted trees are turned into one column expression: marking and redacting
+words around it; the scores are calibrated per kind on all proposals of all documents, in a
+histogram of fixed size, and proposals above the threshold that touch no base span are added.
+
+A proposal is a positive if it is a base span, or if it passes the check of its kind (letters at the
+end of an address, octets or eight groups, digit sum, digit count) in personal context, whatever its
+form; one that fails the check or has no such context is a negative. The trees learn from a bounded
+sample of documents (``FIT_DOCUMENTS`` in expectation, chosen by a hash of the id). The checks
+themselves are not features, so what looks like a base span in form and context scores alike. The fitted trees are turned into one column expression: marking and redacting
 a text is a single narrow projection, without join, shuffle or Python.
 
 Edge cases: a null text is empty; ids may be null or repeated, as nothing is joined on them; with
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dustline.llm.common import stored
@@ -30,8 +31,9 @@ from dustline.llm.spans import labelled, let, located
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_DOCUMENTS = 20_000
-PRECISION = 0.95  # share of base spans among calibration rows at or above the threshold
-LEAST_ROWS = 20  # calibration rows above a threshold
+PRECISION = 0.95  # share of positives among the proposals at or above the threshold
+LEAST_ROWS = 20  # proposals above a threshold
+STEP, FAR = 0.01, 8.0  # width of a bin of scores, and where the outer bins begin
 TREES, DEPTH = 10, 3
 
 # The base patterns of the contract, in a form that never goes back over what it has read.
@@ -75,11 +77,20 @@ def base_spans(text: Column) -> Column:
         kept(3, PHONE, F.contains(text, F.lit("+")), lambda m: length(m).between(10, 15))))
 
 
-def proposals(text: Column) -> Column:
-    """array<struct<start, kind, end, f>> of generated spans with their format and context features."""
+def _checked(kind: int, m: Column) -> Column:
+    """Whether a proposal passes the check of its kind, in any form."""
+    length = F.char_length(_digits(m))
+    return (m.rlike(r"[A-Za-z]{2}$"),
+            F.when(F.contains(m, F.lit(":")), F.size(F.split(m, ":")) == 8).otherwise(_octets(F.regexp_replace(m, r"[.,]\x20?", "."))),
+            length.between(14, 19) & F.call_function("luhn_check", _digits(m)), length.between(10, 15))[kind]
+
+
+def proposals(text: Column, checked: bool = False) -> Column:
+    """array<struct<start, kind, end, f>> of generated spans with their format and context features; ``checked`` adds ``ok``."""
     def made(kind: int, found: Column) -> Column:
         return F.transform(found, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"),
-                                                     features(kind, s["start"], s["end"], s["match"]).alias("f")))
+                                                     features(kind, s["start"], s["end"], s["match"]).alias("f"),
+                                                     *([_checked(kind, s["match"]).alias("ok")] if checked else [])))
 
     def features(kind: int, start: Column, end: Column, m: Column) -> Column:
         before = F.lower(F.substring(text, F.greatest(start - 23, F.lit(1)), F.least(start, F.lit(24))))
@@ -112,20 +123,27 @@ def _tree(node, f: Column) -> Column:
     return F.when(f[int(split.featureIndex())] <= float(split.threshold()), _tree(node.leftChild(), f)).otherwise(_tree(node.rightChild(), f))
 
 
+def _labelled_proposals(docs: DataFrame) -> DataFrame:
+    """(doc_id, kind, f, label) of every proposal of ``docs`` (doc_id, text)."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select("doc_id", base_spans(text).alias("base"), proposals(text, checked=True).alias("made")) \
+        .select("doc_id", F.transform("base", _key).alias("base"), F.explode("made").alias("p"))
+    personal = F.col("p.ok") & (F.element_at("p.f", F.col("p.kind") - len(KINDS)) > 0)  # the last features are the contexts by kind
+    return rows.select("doc_id", F.col("p.kind").alias("kind"), F.col("p.f").alias("f"), (F.array_contains("base", _key(F.col("p"))) | personal).cast("double").alias("label"))
+
+
+def _bin(score: Column) -> Column:
+    return F.floor(F.greatest(F.lit(-FAR), F.least(F.lit(FAR), score)) / STEP).cast("int")
+
+
 def fit(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS):
-    """(margin of a feature array, threshold by kind index) learned from ``docs`` (doc_id, text), or None if one class is missing."""
+    """(margin of a feature array, least bin of it by kind index) learned from ``docs`` (doc_id, text), or None if one class is missing."""
     total = max(1, docs.count())
     sample = docs.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("personal")), F.lit(1 << 20)) < int((1 << 20) * min(1.0, fit_documents / total)))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = sample.select(F.col("doc_id"), base_spans(text).alias("base"), proposals(text).alias("made")) \
-        .select("doc_id", F.transform("base", _key).alias("base"), F.explode("made").alias("p")) \
-        .select(F.col("p.kind").alias("kind"), F.col("p.f").alias("f"), F.array_contains("base", _key(F.col("p"))).cast("double").alias("label"),
-                F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("fold"))
-    rows = stored(rows, "proposals")
-    seen = {(r["fold"], r["label"]) for r in rows.groupBy("fold", "label").count().collect()}
-    if not {(0, 0.0), (0, 1.0), (1, 1.0)} <= seen:
+    rows = stored(_labelled_proposals(sample).select("f", "label"), "proposals")
+    if {r["label"] for r in rows.select("label").distinct().collect()} != {0.0, 1.0}:
         return None
-    train = rows.where("fold = 0").select(array_to_vector("f").alias("features"), "label")
+    train = rows.select(array_to_vector("f").alias("features"), "label")
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, maxBins=32, seed=7).fit(train)
     trees = [(float(w), t._java_obj.rootNode()) for w, t in zip(model.treeWeights, model.trees)]
 
@@ -135,12 +153,14 @@ def fit(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS):
             total = total + F.lit(weight) * _tree(root, f)
         return total
 
-    scored = rows.where("fold = 1").select("kind", "label", F.round(margin(F.col("f")), 6).alias("score")).groupBy("kind", "score") \
-        .agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n"))
-    above = Window.partitionBy("kind").orderBy(F.desc("score"))
-    chosen = scored.select("kind", "score", F.sum("good").over(above).alias("good"), F.sum("n").over(above).alias("n")) \
-        .where((F.col("good") >= PRECISION * F.col("n")) & (F.col("n") >= LEAST_ROWS)).groupBy("kind").agg(F.min("score").alias("least")).collect()
-    return margin, {r["kind"]: r["least"] for r in chosen}
+    bins = _labelled_proposals(docs).groupBy("kind", _bin(margin(F.col("f"))).alias("bin")).agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect()
+    least, above = {}, {}
+    for r in sorted(bins, key=lambda r: -r["bin"]):
+        good, n = above.get(r["kind"], (0, 0))
+        above[r["kind"]] = good, n = good + r["good"], n + r["n"]
+        if good >= PRECISION * n and n >= LEAST_ROWS:
+            least[r["kind"]] = r["bin"]
+    return margin, least
 
 
 def marked(text: Column, model) -> Column:
@@ -152,10 +172,10 @@ def marked(text: Column, model) -> Column:
         taken = F.transform(base, _key)
 
         def passes(p: Column) -> Column:
-            floor = F.lit(1e9)
+            floor = F.lit(1 << 30)
             for kind, value in least.items():
-                floor = F.when(p["kind"] == kind, F.lit(float(value))).otherwise(floor)
-            return F.round(margin(p["f"]), 6) >= floor
+                floor = F.when(p["kind"] == kind, F.lit(value)).otherwise(floor)
+            return _bin(margin(p["f"])) >= floor
 
         good = let(taken, lambda keys: F.filter(proposals(text), lambda p: ~F.array_contains(keys, _key(p)) & passes(p)))
         plain = F.transform(good, lambda p: F.struct(p["start"].alias("start"), p["kind"].alias("kind"), p["end"].alias("end")))

@@ -85,6 +85,21 @@ def test_trees_add_spans_and_keep_base(spark):
     assert not rows[1001]["base"] and not rows[1001]["added"]
 
 
+def test_other_forms_of_personal_data_are_added(spark):
+    group = lambda i: ":".join(f"{(i * 7919 + k * 104729) % 65536:x}" for k in range(6))
+    made = {"email": lambda i: f"please write to anna{i} [at] site{i % 7} [dot] org soon", "ip": lambda i: f"the server 2001:db8:{group(i)} answers",
+            "phone": lambda i: f"please call 301 555 {1000 + i} today"}
+    base = (lambda i: f"please write to anna{i}@site{i % 7}.org soon", lambda i: f"the server 10.{i % 200}.7.{i % 90} answers",
+            lambda i: f"please call +1 301 555 {1000 + i} today")
+    none = (lambda i: f"they met joe{i} at noon{i % 7}.3 again", lambda i: f"edition {i % 90}.300.{i % 7}.12 sold", lambda i: f"lot 301 555 {1000 + i} sold")
+    texts = [(kind, f(i)) for i in range(100) for kind, f in [*made.items(), *((None, f) for f in base + none)]]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    rows = {r["doc_id"]: [pii.KINDS[s["kind"]] for s in r["pii"]["added"]] for r in pii.found(df, pii.fit(df)).collect()}
+    for kind in made:
+        assert np.mean([kind in rows[i] for i, (k, _) in enumerate(texts) if k == kind]) > 0.95, kind
+    assert not any(rows[i] for i, (k, _) in enumerate(texts) if k is None)
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "mail ä@x.de a.b@c.de, host 10.0.0.1!"), (2, "clean"), (3, None), (4, "1.2.3.4@x.de")], "doc_id long, text string")
     out = pii.found(df, None).select("doc_id", pii.redacted(F.col("text"), F.col("pii.base")).alias("t")).collect()
