@@ -1,7 +1,8 @@
 """Secrets by a battery of randomness tests (operator 5), in column expressions only.
 
 Exact patterns give the base spans, which always stay. Any other long token that could be encoded
-bytes is tested: its encoding is inferred (hexadecimal, base 32, lower-case base 36, base 64), and
+bytes is tested: its encoding is inferred (hexadecimal, base 32, base 36 in one case, base
+64 with or without digits), and
 in that alphabet
 
 * a chi-squared statistic tests whether all symbols are equally frequent,
@@ -33,15 +34,17 @@ ASSIGN_HEAD = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*[
 ASSIGN = ASSIGN_HEAD + r"[A-Za-z0-9+/_.=-]+"
 ACCESS = r"AKIA[A-Z0-9]++"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+=*+"  # '=' only pads, so a value after NAME= is a token of its own
 
 #: (name, pattern of the token, alphabet); the first that fits counts.
 ENCODINGS = (
     ("hex", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{24,}$", "0123456789abcdef"),
     ("HEX", r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]{24,}$", "0123456789ABCDEF"),
     ("base32", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]{20,}$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("BASE36", r"^(?=.*[0-9].*[0-9])(?=.*[A-Z])[A-Z0-9]{20,}$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ("base36", r"^(?=.*[0-9].*[0-9])(?=.*[a-z])[a-z0-9]{20,}$", "0123456789abcdefghijklmnopqrstuvwxyz"),
     ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/]{20,}$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+    ("letters", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z+/]{20,}$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/"),
 )
 FALSE = 0.1  # share of false discoveries allowed above a threshold
 BINS = 20
@@ -103,7 +106,7 @@ def tested(text: Column) -> Column:
 
         return let(body, judge)
 
-    found = F.transform(located(text, TOKEN, F.regexp_like(text, F.lit("[0-9]"))), one)
+    found = F.transform(located(text, TOKEN), one)
     return F.filter(found, lambda s: (s["encoding"] >= 0) & s["p"].isNotNull())
 
 

@@ -125,6 +125,19 @@ def test_random_tokens_are_told_from_others(spark):
     assert sum(out[i] for i in range(200, 290)) == 0
 
 
+def test_random_values_after_names_and_in_other_alphabets(spark):
+    rng = random.Random(8)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    made = lambda alphabet: "".join(rng.choice(alphabet) for _ in range(44))
+    forms = [("SESSION_KEY=", upper + lower + digits + "+/", "=="), ("https://h.example/a?sig=", upper + lower + digits, "&v=1"), ("A_LONG_NAME_OF_THE_SESSION_KEY=", upper + lower + digits, ""),
+             ("id ", upper + digits, " there"), ("see ", upper + lower, " there")]
+    texts = [(head + (token := made(alphabet)) + tail, len(head), len(head) + 44 + tail.count("=") * (tail == "==")) for head, alphabet, tail in forms for _ in range(60)]
+    rows = secret_scan.scanned(spark.createDataFrame([(i, t[0]) for i, t in enumerate(texts)], "doc_id long, text string"))
+    out = {r["doc_id"]: [(s["start"], s["end"]) for s in r["added"]] for r in secret_scan.with_random(rows, secret_scan.thresholds(rows)).collect()}
+    for k in range(len(forms)):
+        assert np.mean([texts[i][1:] in out[i] for i in range(60 * k, 60 * k + 60)]) > 0.8, forms[k]
+
+
 # ---- nearest vectors ---------------------------------------------------------
 def brute_nearest(ids, x, queries, k=5):
     out = []
