@@ -36,6 +36,12 @@ def region_stats(cells: DataFrame) -> DataFrame:
             .where(F.col("id") >= 0))
 
 
+def region_years(stats: DataFrame, value: str, nudge: float = 0.0) -> DataFrame:
+    """One row per id, one column per calendar year of the data with the mean of ``value`` rounded to four places."""
+    mean = F.round(F.avg(value) + nudge, 4) + F.lit(0.0)
+    return stats.withColumn("year", F.year("date")).groupBy("id").pivot("year").agg(mean)
+
+
 def dense_series(stats: DataFrame, dates: DataFrame, ids: DataFrame, values: dict[str, int]) -> DataFrame:
     """One row per (level, id) with values aligned to every date, NULL where absent.
 

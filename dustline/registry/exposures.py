@@ -36,13 +36,13 @@ def annual_national_exposure(spark, sf):
     return a.select("year", "days", r("pop_weighted_mean"), "days_gt35", r("mean_pop_frac_gt15"), r("mean_pop_frac_gt35"))
 
 
-@query("E24 N8", STATS.rstrip() + f""", t AS (SELECT id, 'y' || year(date) AS y, pop_weighted FROM stats WHERE level = 'adm1')
-SELECT * FROM (PIVOT t ON y USING round(avg(pop_weighted) + {X.NUDGE}, 4) + 0.0 GROUP BY id)""")
+@query("E24 N8", STATS.rstrip() + f""", t AS (SELECT id, CAST(year(date) AS INTEGER) AS year, round(avg(pop_weighted) + {X.NUDGE}, 4) + 0.0 AS pop_weighted_mean
+ FROM stats WHERE level = 'adm1' GROUP BY ALL)
+SELECT i.id, y.year, pop_weighted_mean FROM (SELECT DISTINCT id FROM t) i CROSS JOIN (SELECT DISTINCT year FROM t) y LEFT JOIN t ON t.id = i.id AND t.year = y.year""")
 def region_year_means(spark, sf):
-    """One column per year that occurs in the data."""
-    s = stats(spark, sf).where("level = 'adm1'")
-    s = s.withColumn("y", F.concat(F.lit("y"), F.year("date")))
-    return s.groupBy("id").pivot("y").agg(F.round(F.avg("pop_weighted") + X.NUDGE, 4) + F.lit(0.0))
+    """The region by year table (one column per year that occurs) given as rows, a year without data as null."""
+    wide = exposure.region_years(stats(spark, sf).where("level = 'adm1'"), "pop_weighted", X.NUDGE)
+    return wide.unpivot("id", [c for c in wide.columns if c != "id"], "year", "pop_weighted_mean").withColumn("year", F.col("year").cast("int"))
 
 
 _NORTH = "('AFRICA', 'ASIA')"
