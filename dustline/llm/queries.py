@@ -7,6 +7,8 @@ from dustline.llm.language_id import op8_language_id
 from dustline.llm.language_model import op3_language_model
 from dustline.llm.licences import SQL as LICENCES_SQL
 from dustline.llm.licences import op4_licences
+from dustline.llm.merkle import SQL as MERKLE_SQL
+from dustline.llm.merkle import op13_merkle_manifest
 from dustline.llm.mixing import op9_mixing
 from dustline.llm.near_duplicates import op10_near_duplicates
 from dustline.llm.nearest_vectors import op2_nearest_vectors
@@ -15,7 +17,7 @@ from dustline.llm.secret_scan import op5_secrets
 from dustline.llm.toxicity import op6_toxicity
 
 QUERIES = {q.__name__: q for q in (op1_personal_data, op2_nearest_vectors, op3_language_model, op4_licences, op5_secrets, op6_toxicity, op7_decontamination,
-                                   op8_language_id, op9_mixing, op10_near_duplicates)}
+                                   op8_language_id, op9_mixing, op10_near_duplicates, op13_merkle_manifest)}
 
 #: A set of shingles per document, every linked pair through a shared shingle, then the smallest id reachable.
 NEAR_DUPLICATES_SQL = """
@@ -36,4 +38,4 @@ SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = componen
 FROM words w JOIN smallest USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op4_licences": LICENCES_SQL, "op10_near_duplicates": NEAR_DUPLICATES_SQL}
+SQL: dict[str, str] = {"op4_licences": LICENCES_SQL, "op10_near_duplicates": NEAR_DUPLICATES_SQL, "op13_merkle_manifest": MERKLE_SQL}
