@@ -206,6 +206,26 @@ def list_pairs(nodes: np.ndarray, sizes: np.ndarray, places: np.ndarray, labels:
     return np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])
 
 
+def leaf_pairs(groups: np.ndarray, cross: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, places: np.ndarray, labels: np.ndarray, sides: np.ndarray,
+               points: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The same for many lists of at most FAN members, each a tree of one leaf: all at once. ``groups`` numbers the lists, whose rows
+    follow one another; ``cross`` marks rows of lists of two different blocks."""
+    left, right = [], []
+    for step in range(1, FAN):
+        i = np.flatnonzero(groups[step:] == groups[:-step])
+        j = i + step
+        least = needed(sizes[i] + sizes[j])
+        ok = (labels[i] != labels[j]) & (sizes[i] - places[i] + 1 >= least) & (sizes[j] - places[j] + 1 >= least) & (~cross[i] | (sides[i] != sides[j]))
+        ok &= (sizes[i] * DENOM >= sizes[j] * NUMER) & (sizes[j] * DENOM >= sizes[i] * NUMER)
+        left.append(i[ok])
+        right.append(j[ok])
+    i, j = np.concatenate(left), np.concatenate(right)
+    ok = np.array([bound(point_from(points[x], sizes[x]), point_from(points[y], sizes[y])) >= needed(sizes[x] + sizes[y])
+                   for x, y in zip(i.tolist(), j.tolist())], dtype=bool)
+    i, j = i[ok], j[ok]
+    return np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])
+
+
 def summaries(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, n, node), and per task the loads of its shingles as (block, loads): one pass over all texts."""
     kind = "doc_id long, n long, node long, block int, loads binary"
@@ -302,28 +322,39 @@ def across(lists: DataFrame, index: DataFrame) -> DataFrame:
     rows = rows.join(index.select("node", "point"), "node").select("value", "low", "high", "node", "n", "place", "component", "side", "point")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, key = [], None
-
-        def found() -> pa.RecordBatch:
-            a, b = list_pairs(*(np.concatenate([w[i] for w in waiting]) for i in range(5)), [p for w in waiting for p in w[5]])
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        waiting: list[tuple] = []  # rows of the last list seen, which may go on in the next batch
+
+        def found(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            keys, rest, points = [np.concatenate([w[i] for w in rows]) for i in range(3)], [np.concatenate([w[i] for w in rows]) for i in range(3, 8)], [p for w in rows for p in w[8]]
+            new = np.concatenate(([True], np.any([k[1:] != k[:-1] for k in keys], axis=0)))
+            starts = np.flatnonzero(new)
+            ends = np.append(starts[1:], len(new))
+            small = np.repeat(ends - starts <= FAN, ends - starts)
+            pairs = []
+            if small.any():
+                at = np.flatnonzero(small)
+                pairs.append(leaf_pairs((np.cumsum(new) - 1)[at], (keys[1] != keys[2])[at], *(r[at] for r in rest), [points[i] for i in at.tolist()]))
+            pairs += [list_pairs(*(r[s:e] for r in rest), points[s:e]) for s, e in zip(starts.tolist(), ends.tolist()) if e - s > FAN]
+            for a, b in pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
             columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(8)]
-            value, low, high, node, n, place, component, side = columns
+            columns[5] = columns[5].astype(np.int64)
+            value, low, high = columns[:3]
             point = batch.column(8).to_pylist()
-            new = np.flatnonzero((value[1:] != value[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
-            for start, end in zip([0, *new.tolist()], [*new.tolist(), len(value)]):
-                if start == end:
-                    continue
-                at = value[start], low[start], high[start]
-                if at != key and waiting:
-                    yield found()
-                    waiting = []
-                key = at
-                waiting.append((node[start:end], n[start:end], place[start:end].astype(np.int64), component[start:end], side[start:end], point[start:end]))
+            if not len(value):
+                continue
+            last = int(np.flatnonzero(np.concatenate(([True], (value[1:] != value[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]))))[-1])
+            goes_on = waiting and (value[0], low[0], high[0]) == tuple(waiting[-1][i][-1] for i in range(3))
+            if last or not goes_on:
+                done = [*waiting, (*(c[:last] for c in columns), point[:last])]
+                waiting = []
+                if sum(len(d[0]) for d in done):
+                    yield from found(done)
+            waiting.append((*(c[last:] for c in columns), point[last:]))
         if waiting:
-            yield found()
+            yield from found(waiting)
 
     return rows.repartition("value", "low", "high").sortWithinPartitions("value", "low", "high").mapInArrow(run, "a long, b long").distinct()
 
