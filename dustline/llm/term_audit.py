@@ -266,8 +266,9 @@ def kept_counts(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> tuple[DataFram
     return counts, terms, stored(groups.select("lang", "source", number, zero("group_n"), zero("lang_n"), zero("v")), "audit-groups")
 
 
-def _distances(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Partial sums of one pair of source blocks over one term block. Rows without a term give a source's value of absent terms."""
+def _distances(size: int, key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Partial sums of one pair of source blocks over one term block. Rows without a term give a source's value of absent terms; ``size``
+    sources are a block."""
     lang, low, high = key[0], int(key[1]), int(key[2])
     base = rows[rows["term"].isna()].sort_values("number")
     numbers = base["number"].to_numpy()
@@ -279,8 +280,8 @@ def _distances(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     matrix = np.repeat(absent[:, None], max(len(seen), 1), axis=1)
     matrix[where[real], codes] = rows["p"].to_numpy(dtype=np.int64)[real]
     rest = width - len(seen)  # kept terms of the block that none of these sources has
-    left = np.flatnonzero(numbers // BLOCK_SOURCES == low)
-    right = np.flatnonzero(numbers // BLOCK_SOURCES == high)
+    left = np.flatnonzero(numbers // size == low)
+    right = np.flatnonzero(numbers // size == high)
     a, b, value = [], [], []
     for i in left.tolist():
         others = right[right > i] if low == high else right
@@ -290,11 +291,12 @@ def _distances(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         a += [int(numbers[i])] * len(others)
         b += numbers[others].tolist()
         value += (total + rest * np.abs(absent[others] - absent[i])).tolist()
-    return pd.DataFrame({"lang": [lang] * len(a), "a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64), "value": np.array(value, dtype=np.int64)})
+    return pd.DataFrame({"lang": np.array([lang] * len(a), dtype=object), "a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64), "value": np.array(value, dtype=np.int64)})
 
 
 def pair_sums(counts: DataFrame, terms: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, a, b, value) for the numbers a < b of two sources of a language that keeps terms."""
+    size = BLOCK_SOURCES
     blocks = F.ceil(F.col("v") / BLOCK_TERMS)
     block = F.pmod(F.xxhash64("term"), blocks).alias("block")
     by_lang = groups.select("lang", "v", (F.max("number").over(Window.partitionBy("lang")) / BLOCK_SOURCES).cast("int").alias("last")).distinct().where("v > 0")
@@ -310,7 +312,7 @@ def pair_sums(counts: DataFrame, terms: DataFrame, groups: DataFrame) -> DataFra
         "lang", "last", "number", "block", F.lit(None).cast("string").alias("term"), share(F.lit(0), F.col("group_n"), F.col("v")).alias("p"), "block_terms")
     dealt = present.unionByName(absent).withColumn("part", part).select("lang", low_high, "block", "number", "term", "p", "block_terms") \
         .select("lang", "pair.low", "pair.high", "block", "number", "term", "p", "block_terms")
-    return dealt.groupBy("lang", "low", "high", "block").applyInPandas(_distances, "lang string, a long, b long, value long") \
+    return dealt.groupBy("lang", "low", "high", "block").applyInPandas(lambda key, part: _distances(size, key, part), "lang string, a long, b long, value long") \
         .groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
 
