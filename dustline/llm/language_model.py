@@ -11,10 +11,12 @@ words never seen, so probabilities sum to one over the vocabulary.
 
 * Counts: one pass over all texts, words counted in the tasks, then by one aggregation. The table
   grows with the corpus and stays on the cluster.
-* Training: ROUNDS synchronous rounds over all training documents. A shard is a group of input
-  partitions; it takes gradient steps from the shared weights over its own texts, chunk by chunk,
-  and the changes are averaged by blocks of weights on the executors. Texts never move. The feature
-  table grows with the square root of the corpus (``feature_rows``), as it goes with every task.
+* Training: ROUNDS synchronous rounds, each over its own part of the training documents (by a hash of
+  the id), so every document is learned from once. A shard is a group of input partitions; it takes
+  gradient steps from the shared weights over its own texts, chunk by chunk, and gives the change of
+  the rows it touched. Changes are averaged by blocks of rows on the executors, in a stream. Texts never
+  move. The cost of a step depends on its batch alone, not on the table. The feature table goes with every task: it grows with the square root
+  of the corpus (``feature_rows``) up to MOST_ROWS (67 MB); beyond that more contexts share a row.
 * Scoring: one pass over all texts in sparse numpy batches. Counts of the most frequent words
   (at most HEAD_WORDS) go with the tasks; the other words of a document meet the count table in a
   join by word, and only their sums come back to the document.
@@ -32,7 +34,6 @@ from copy import copy
 from itertools import count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -41,15 +42,15 @@ from pyspark.sql import functions as F
 from dustline.llm.common import chunks, mix, remainder, segment_sums, stored, texts_of
 
 CLASSES = GROUPS = 32
-FEATURE_ROWS = 1 << 14  # at least
+FEATURE_ROWS, MOST_ROWS = 1 << 14, 1 << 18  # of a table of weights: at least, at most
 SHARDS, SHARD_TOKENS, ROUNDS = 12, 1 << 26, 3
-BATCH, RATE = 2_048, 0.15
+BATCH, RATE, CELLS = 4_096, 0.3, 1 << 16
 HEAD_WORDS = 50_000
 FLUSH_WORDS = 200_000
 MEMORY_WORDS = 150_000
 SMOOTH = 0.1
 END = b" "  # cannot be a word
-BLOCK = 1 << 11  # rows of a block of weights
+BLOCK = 1 << 8  # rows of a block of weights
 
 
 class Tokens:
@@ -106,8 +107,8 @@ def features(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def feature_rows(tokens: float) -> int:
-    """Rows of a table of weights for a corpus: the power of two at or above four times the root of its tokens."""
-    return max(FEATURE_ROWS, 1 << int(np.ceil(np.log2(4 * np.sqrt(max(1.0, tokens))))))
+    """Rows of a table of weights for a corpus: the power of two at or above four times the root of its tokens, within bounds."""
+    return min(MOST_ROWS, max(FEATURE_ROWS, 1 << int(np.ceil(np.log2(4 * np.sqrt(max(1.0, tokens)))))))
 
 
 def _rows(f: np.ndarray, size: int, classes: np.ndarray | None = None) -> np.ndarray:
@@ -159,12 +160,17 @@ class Model:
                 grad = _log_softmax(table, rows, offset)
                 np.exp(grad, out=grad)
                 grad[k, right] -= 1
-                grad *= np.float32(-RATE)
-                columns = np.arange(table.shape[1])
-                for j in range(rows.shape[1]):
-                    row = rows[:, j]
-                    change = grad / np.sqrt(np.bincount(row, minlength=self.size)[row], dtype=np.float32)[:, None]
-                    np.add.at(table.reshape(-1), (row[:, None] * table.shape[1] + columns).reshape(-1), change.reshape(-1))
+                _descend(table, rows, grad)
+
+
+def _descend(table: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
+    """Adds the step of each token to its feature rows. What n tokens of the batch share moves by their sum over the root of n, n being
+    counted in CELLS cells, so nothing here is as long as the table."""
+    cells = (rows & (CELLS - 1)).reshape(-1)
+    scale = np.float32(-RATE) / np.sqrt(np.bincount(cells, minlength=CELLS)[cells]).astype(np.float32)
+    change = grad[:, None, :] * scale.reshape(rows.shape)[:, :, None]
+    at = rows[:, :, None] * table.shape[1] + np.arange(table.shape[1])
+    np.add.at(table.reshape(-1), at.reshape(-1), change.reshape(-1))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -214,29 +220,42 @@ def _shard(model: Model, turn: int) -> callable:
             local.learn(features(h, counts), group_of(h), rng)
             seen = True
         for level, (new, old) in enumerate(zip(local.tables, model.tables) if seen else ()):
-            for at in range(0, model.size, BLOCK):
-                change = (new[at:at + BLOCK] - old[at:at + BLOCK]).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([level * model.size + at], pa.int32()), pa.array([change], pa.binary())], names=["block", "change"])
+            touched = np.flatnonzero((new != old).any(axis=1))
+            for rows in np.split(touched, np.flatnonzero(np.diff(touched // BLOCK)) + 1) if len(touched) else ():
+                change = (new[rows] - old[rows]).astype(np.float16)
+                yield pa.RecordBatch.from_arrays([pa.array([(level * model.size + int(rows[0])) // BLOCK], pa.int32()), pa.array([(rows % BLOCK).astype(np.uint8).tobytes()], pa.binary()),
+                                                  pa.array([change.tobytes()], pa.binary())], names=["block", "rows", "change"])
 
     return run
 
 
-def _mean(blocks: pd.DataFrame) -> pd.DataFrame:
-    """Mean change of one block of weights; a row counts only the shards that saw it."""
-    parts = np.stack([np.frombuffer(b, dtype=np.float32).reshape(BLOCK, -1) for b in blocks["change"]])
-    seen = np.maximum((parts != 0).any(axis=2).sum(axis=0), 1)
-    return pd.DataFrame({"block": blocks["block"].iloc[:1].to_list(), "change": [(parts.sum(axis=0) / seen[:, None]).astype(np.float32).tobytes()]})
+def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mean change of the rows of each block over the shards that touched them; a task holds the sums of its blocks only."""
+    sums: dict[int, np.ndarray] = {}
+    times: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, rows, change in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if block not in sums:
+                sums[block], times[block] = np.zeros((BLOCK, GROUPS), dtype=np.float32), np.zeros(BLOCK, dtype=np.float32)
+            at = np.frombuffer(rows, dtype=np.uint8)
+            sums[block][at] += np.frombuffer(change, dtype=np.float16).reshape(len(at), -1)
+            times[block][at] += 1
+    means = [(sums[b] / np.maximum(times[b], 1)[:, None]).astype(np.float32).tobytes() for b in sums]
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(means, pa.binary())], names=["block", "change"])
 
 
 def trained(docs: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
-    """``model`` with weights learned from every row of ``docs`` (text)."""
-    shards = max(SHARDS, -(-int(model.tokens) // SHARD_TOKENS))
-    texts = docs.select(F.col("text").cast("string").alias("text")).coalesce(shards)
+    """``model`` with weights learned from every row of ``docs`` (doc_id, text), each in one of the rounds. The driver holds one table of
+    weights, at most MOST_ROWS long."""
+    shards = max(SHARDS, -(-int(model.tokens) // (rounds * SHARD_TOKENS)))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(rounds))
     for turn in range(rounds):
-        got = texts.mapInArrow(_shard(model, turn), "block int, change binary").groupBy("block").applyInPandas(_mean, "block int, change binary").collect()
+        texts = docs.where(part == turn).select(F.col("text").cast("string").alias("text")).coalesce(shards)
+        got = texts.mapInArrow(_shard(model, turn), "block int, rows binary, change binary").repartition("block") \
+            .mapInArrow(_mean, "block int, change binary").collect()
         tables = [t.copy() for t in model.tables]
         for r in got:
-            level, at = divmod(r["block"], model.size)
+            level, at = divmod(r["block"] * BLOCK, model.size)
             tables[level][at:at + BLOCK] += np.frombuffer(r["change"], dtype=np.float32).reshape(BLOCK, -1)
         model.tables = tables
     return model

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -213,10 +214,29 @@ def test_language_model_beats_the_base_and_sums_to_one(spark):
 
 def test_language_model_learns_from_every_document(spark):
     docs = spark.range(12000, numPartitions=5).selectExpr("id AS doc_id", "concat('w', id) AS text")
-    got = language_model.trained(docs, language_model.Model(np.ones(1024)), rounds=1)
-    # about 24,000 contexts in 16,384 rows of weights; 3,000 documents reach under a third of them
-    assert (got.tables[0] != 0).any(axis=1).mean() > 0.7
-    assert language_model.feature_rows(1e6) == language_model.FEATURE_ROWS < language_model.feature_rows(1e8) < language_model.feature_rows(1e10)
+    for rounds in (1, 3):  # each document is in one of the rounds
+        got = language_model.trained(docs, language_model.Model(np.ones(1024)), rounds=rounds)
+        # about 24,000 contexts in 16,384 rows of weights; 3,000 documents reach under a third of them
+        assert (got.tables[0] != 0).any(axis=1).mean() > 0.7
+    assert language_model.feature_rows(1e6) == language_model.FEATURE_ROWS < language_model.feature_rows(1e8) < language_model.feature_rows(1e9)
+    assert language_model.feature_rows(1e12) == language_model.MOST_ROWS
+
+
+def test_cost_of_a_token_does_not_grow_with_the_table():
+    rng = np.random.default_rng(0)
+    h = language_model.mix(rng.integers(0, 50_000, 60_000).astype(np.uint64))
+    f, g = language_model.features(h, np.array([len(h)])), language_model.group_of(h)
+
+    def seconds(rows):
+        model = language_model.Model(np.ones(1024))
+        model.size, model.tables = rows, [np.zeros((rows, 32), dtype=np.float32) for _ in range(2)]
+        model.learn(f, g, rng)
+        start = time.perf_counter()
+        model.learn(f, g, rng)
+        return time.perf_counter() - start
+
+    small, large = (min(seconds(1 << k) for _ in range(3)) for k in (14, 18))
+    assert large < 4 * small  # memory is farther away, but no step is as long as the table
 
 
 # ---- licences ----------------------------------------------------------------
