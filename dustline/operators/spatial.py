@@ -5,33 +5,84 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dustline import params as P
 from dustline.functions import geo
-from dustline.session import shared_dir
+from dustline.session import shared_dir, spread
 
 
 # ---------------------------------------------------------------- polygons
+def _tiled_edges(edges: DataFrame, feature: str, band: float, tile: float) -> DataFrame:
+    """Edges by the latitude bands they touch: (feature, edge, _b, _from, _to), from and to which tile of the band the edge runs."""
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    listed = (edges.where(F.col("y1") != F.col("y2")).select(feature, "x1", "y1", "x2", "y2")
+              .withColumn("_b", F.explode(F.sequence(F.floor(low / band), F.floor(high / band)))))
+
+    def x_at(y: Column) -> Column:
+        return F.col("x1") + (y - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
+
+    # only the part of the edge within the band, with room for rounding
+    ends = [x_at(F.greatest(low, F.col("_b") * band)), x_at(F.least(high, (F.col("_b") + 1) * band))]
+    room = tile * 1e-6
+    return (listed.withColumn("_from", F.floor((F.least(*ends) - room) / tile))
+            .withColumn("_to", F.floor((F.greatest(*ends) + room) / tile)))
+
+
+def polygon_index(edges: DataFrame, feature: str, band: float, tile: float) -> tuple[DataFrame, DataFrame]:
+    """(local, east): edges by the tiles (band ``_b``, ``_t``) they touch, and per tile what lies wholly east of it.
+
+    Edges east of a tile cross a latitude as often, modulo 2, as endpoints of them lie above it: the
+    two ends of an edge that crosses are on different sides, those of any other are not. Endpoints that
+    two such edges share cancel. So ``east`` keeps ``_odd`` (endpoints above the band, modulo 2) and
+    ``_ys``, the endpoints within the band that do not cancel: there is one only where a ring passes
+    from the tile's own column into the columns east of it. No geometry is needed and nothing is rounded.
+    """
+    listed = _tiled_edges(edges, feature, band, tile)
+    local = listed.withColumn("_t", F.explode(F.sequence("_from", "_to"))).select(feature, "_b", "_t", "x1", "y1", "x2", "y2")
+    # an endpoint in a band above lies above every latitude of this one, as rounding keeps order
+    higher = [(F.floor(F.col(y) / band) > F.col("_b")).cast("int") for y in ("y1", "y2")]
+    column = listed.groupBy(feature, "_b", "_from").agg(F.sum(higher[0] + higher[1]).alias("_n"))
+    # windows over the edge columns of one feature's band: not over points
+    east_first = W.partitionBy(feature, "_b").orderBy(F.desc("_from"))
+    before = east_first.rowsBetween(W.unboundedPreceding, -1)
+    steps = column.select(feature, "_b", "_from", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"), F.lag("_from").over(east_first).alias("_next"))
+    # tiles from one edge column up to the next one to the east have the same edges east of them
+    odd = (steps.where((F.col("_n") % 2 == 1) & F.col("_next").isNotNull())
+           .select(feature, "_b", F.explode(F.sequence("_from", F.col("_next") - 1)).alias("_t"), F.lit(1).alias("_odd"), F.lit(None).cast("double").alias("_y")))
+    ends = listed.select(feature, "_b", "_from", F.explode(F.array("y1", "y2")).alias("_y"))
+    met = ends.where(F.floor(F.col("_y") / band) == F.col("_b")).groupBy(feature, "_b", "_y", "_from").agg(F.count(F.lit(1)).alias("_n"))
+    by_y = W.partitionBy(feature, "_b", "_y").orderBy(F.desc("_from"))
+    met = met.select(feature, "_b", "_y", "_from", F.coalesce(F.sum("_n").over(by_y.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_n"),
+                     F.lag("_from").over(by_y).alias("_next"))
+    loose = (met.where((F.col("_n") % 2 == 1) & F.col("_next").isNotNull())
+             .select(feature, "_b", F.explode(F.sequence("_from", F.col("_next") - 1)).alias("_t"), F.lit(0).alias("_odd"), "_y"))
+    east = odd.unionByName(loose).groupBy(feature, "_b", "_t").agg(F.sum("_odd").alias("_odd"), F.collect_list("_y").alias("_ys"))
+    return local, east
+
+
 def polygon_cells(points: DataFrame, edges: DataFrame, keys: Sequence[str], feature: str = "feature_id",
-                  band: float = 0.05) -> DataFrame:
+                  band: float = 0.05, tile: float = 0.05) -> DataFrame:
     """Even-odd point-in-polygon: each point with every feature that contains it.
 
-    An edge is listed in the latitude bands it spans and, to the west of it, nothing else is
-    needed: a point counts the edges that cross its latitude east of it. Points and edges
-    meet on the band; horizontal edges never cross and are left out.
+    A point counts the edges that cross its latitude east of it. Edges that touch its own tile are
+    compared one by one; all others to the east come as one number per feature (``polygon_index``),
+    so a point meets the edges of one tile and the features over that tile, however long its band is.
     """
     keys = list(keys)
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    listed = (edges.where(F.col("y1") != F.col("y2"))
-              .withColumn("_b", F.explode(F.sequence(F.floor(low / band), F.floor(high / band)))))
-    placed = points.withColumn("_b", F.floor(F.col("lat") / band))
+    local, east = polygon_index(edges, feature, band, tile)
+    placed = points.select(*keys, "lat", "lon", F.floor(F.col("lat") / band).alias("_b"), F.floor(F.col("lon") / tile).alias("_t"))
     crossing = F.col("x1") + (F.col("lat") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    hits = (placed.join(listed, "_b")
-            .where(((F.col("y1") > F.col("lat")) != (F.col("y2") > F.col("lat"))) & (F.col("lon") < crossing)))
-    return (hits.groupBy(*keys, feature).agg(F.count(F.lit(1)).alias("_n"))
+    hits = (placed.join(local, ["_b", "_t"])
+            .where(((F.col("y1") > F.col("lat")) != (F.col("y2") > F.col("lat"))) & (F.col("lon") < crossing))
+            .select(*keys, feature, F.lit(1).alias("_n")))
+    above = F.aggregate("_ys", F.col("_odd").cast("int"), lambda n, y: n + (y > F.col("lat")).cast("int"))
+    beyond = placed.join(east, ["_b", "_t"]).select(*keys, feature, above.alias("_n"))
+    return (hits.unionByName(beyond).groupBy(*keys, feature).agg(F.sum("_n").alias("_n"))
             .where(F.col("_n") % 2 == 1).select(*keys, feature))
 
 
@@ -97,32 +148,49 @@ def road_length(segments: DataFrame, west: float, north: float, rows: int, cols:
     return binned.where(inside).groupBy("row", "col").agg(F.sum("_part").alias("length_km"))
 
 
+def tiles_around(row: str, col: str, halo: int, block: int) -> Column:
+    """Tiles of ``block`` by ``block`` cells whose area, widened by ``halo``, holds the cell: one struct (_ti, _tj) per row."""
+    span = lambda c: F.sequence(F.floor((F.col(c) - halo) / block), F.floor((F.col(c) + halo) / block))
+    return F.explode(F.flatten(F.transform(span(row), lambda i: F.transform(span(col), lambda j: F.struct(i.alias("_ti"), j.alias("_tj"))))))
+
+
+def squared_gaps(hits: np.ndarray, reach: int) -> np.ndarray:
+    """Squared distance in cells to the nearest true cell of a matrix with a border of ``reach``, for the cells inside the border; infinite
+    beyond the reach. Exact and separable: gaps along lines by carrying the last hit forward and back, then the least sum across lines."""
+    rows, cols = hits.shape
+    at = np.where(hits, np.arange(cols), -np.inf)
+    before = np.arange(cols) - np.maximum.accumulate(at, axis=1)
+    at = np.where(hits, np.arange(cols), np.inf)
+    after = np.minimum.accumulate(at[:, ::-1], axis=1)[:, ::-1] - np.arange(cols)
+    gap = np.minimum(before, after)[:, reach:cols - reach] ** 2
+    best = np.full((rows - 2 * reach, gap.shape[1]), np.inf)
+    for k in range(2 * reach + 1):
+        np.minimum(best, gap[k:k + len(best)] + (k - reach) ** 2, out=best)
+    return best
+
+
 def nearest_occupied_cell(cells: DataFrame, occupied: DataFrame, cap_km: float = 100.0,
-                          cell_km: float = P.GRID_RES * P.KM_PER_DEG) -> DataFrame:
+                          cell_km: float = P.GRID_RES * P.KM_PER_DEG, block: int = 256) -> DataFrame:
     """Distance (km) from each grid cell to the nearest occupied one, capped.
 
-    Separable: two window scans give the horizontal gap within each row, then each column
-    takes the best of the rows within the cap. Columns are cut into blocks with a halo of
-    the cap, so a window spans one grid row or one block however long the columns are.
+    The grid is cut into square tiles. Occupied cells also go to the tiles within the cap, so a tile
+    knows all it needs, and lines of any length span many tasks.
     """
     reach = math.ceil(cap_km / cell_km)
-    block = 8 * reach
-    tagged = (cells.select("row", "col").withColumn("_own", F.lit(1))
-              .join(occupied.select("row", "col").distinct().withColumn("_hit", F.lit(1)), ["row", "col"], "full"))
-    left = W.partitionBy("row").orderBy("col").rowsBetween(W.unboundedPreceding, 0)
-    right = W.partitionBy("row").orderBy("col").rowsBetween(0, W.unboundedFollowing)
-    marked = F.when(F.col("_hit") == 1, F.col("col"))
-    gap = F.least(F.col("col") - F.last(marked, True).over(left), F.first(marked, True).over(right) - F.col("col"))
-    column = W.partitionBy("col", "_b").orderBy("row").rangeBetween(-reach, reach)
-    homes = F.sequence(F.floor((F.col("row") - reach) / block), F.floor((F.col("row") + reach) / block))
-    spread_out = tagged.withColumn("_h", gap).withColumn("_b", F.explode(homes))
-    scanned = spread_out.withColumn(
-        "_near", F.collect_list(F.when(F.col("_h").isNotNull(), F.struct("row", "_h"))).over(column))
-    squared = F.array_min(F.transform(
-        "_near", lambda n: n["_h"] * n["_h"] + (n["row"] - F.col("row")) * (n["row"] - F.col("row"))))
-    return (scanned.where((F.col("_own") == 1) & (F.col("_b") == F.floor(F.col("row") / block)))
-            .select("row", "col", F.least(F.coalesce(F.sqrt(squared) * cell_km, F.lit(cap_km)), F.lit(cap_km))
-                    .alias("dist_road")))
+    own = cells.select("row", "col").distinct().select("row", "col", F.floor(F.col("row") / block).alias("_ti"), F.floor(F.col("col") / block).alias("_tj"))
+    hits = occupied.select("row", "col").distinct().select("row", "col", tiles_around("row", "col", reach, block).alias("_t")) \
+        .select("row", "col", "_t._ti", "_t._tj")
+
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        top, west = int(key[0]) * block - reach, int(key[1]) * block - reach
+        seen = np.zeros((block + 2 * reach,) * 2, dtype=bool)
+        (y, x), (hit_y, hit_x) = ((side["row"].to_numpy(np.int64), side["col"].to_numpy(np.int64)) for side in (left, right))
+        seen[hit_y - top, hit_x - west] = True
+        squared = squared_gaps(seen, reach)[y - top - reach, x - west - reach]
+        return pd.DataFrame({"row": y, "col": x, "dist_road": np.minimum(np.sqrt(squared) * cell_km, cap_km)})
+
+    tile = ["_ti", "_tj"]
+    return spread(own, *tile).groupBy(*tile).cogroup(spread(hits, *tile).groupBy(*tile)).applyInPandas(run, "row long, col long, dist_road double")
 
 
 # ---------------------------------------------------------------- block statistics
@@ -167,45 +235,40 @@ def gaussian_weights(sigma_cells: float, truncate: float = 4.0) -> list[float]:
     return [x / total for x in w]
 
 
-def _smooth_axis(cells: DataFrame, along: str, across: str, values: Sequence[str], weights: list[float],
-                 size: int, block: int) -> DataFrame:
-    """One pass of a symmetric kernel along one axis with the edge value repeated outside.
-
-    A line is cut into blocks; cells near a block border are also sent to the neighbour, so
-    a window never spans more than ``block + 2 r`` cells however long the line is.
-    """
-    r = len(weights) // 2
-    own = F.floor(F.col(along) / block)
-    homes = F.sequence(F.floor((F.col(along) - r) / block), F.floor((F.col(along) + r) / block))
-    spread = cells.withColumn("_own", own).withColumn("_b", F.explode(homes))
-    frame = W.partitionBy("_b", across).orderBy(along).rowsBetween(-r, r)
-    tail = [0.0]
-    for w in weights:
-        tail.append(tail[-1] + w)
-    kernel = F.array(*[F.lit(w) for w in weights])
-    cumulative = F.array(*[F.lit(t) for t in tail])
-    lost_left = F.greatest(F.lit(0), F.lit(r) - F.col(along)).cast("int")
-    lost_right = F.greatest(F.lit(0), F.col(along) + r - (size - 1)).cast("int")
-    out = spread
-    for v in values:
-        out = out.withColumn(f"_w_{v}", F.collect_list(v).over(frame))
-    for v in values:
-        window = F.col(f"_w_{v}")
-        inner = F.aggregate(
-            F.zip_with(window, F.slice(kernel, lost_left + 1, F.size(window)), lambda x, w: x * w),
-            F.lit(0.0), lambda acc, x: acc + x)
-        edges = (F.element_at(cumulative, lost_left + 1) * window[0]
-                 + F.element_at(cumulative, lost_right + 1) * F.element_at(window, -1))
-        out = out.withColumn(v, inner + edges).drop(f"_w_{v}")
-    return out.where(F.col("_b") == F.col("_own")).drop("_b", "_own")
+def smoothed(grid: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Separable symmetric kernel over a matrix, for the cells at least half its width from the border."""
+    width = len(weights)
+    down = sum(w * grid[k:len(grid) - width + 1 + k] for k, w in enumerate(weights))
+    return sum(w * down[:, k:down.shape[1] - width + 1 + k] for k, w in enumerate(weights))
 
 
 def gaussian_smooth(cells: DataFrame, values: Sequence[str], sigma_km: float, rows: int, cols: int,
                     block: int = 256) -> DataFrame:
-    """Separable Gaussian neighbourhood mean on a complete (row, col) grid."""
-    weights = gaussian_weights(sigma_km / (P.GRID_RES * P.KM_PER_DEG))
-    down = _smooth_axis(cells, "row", "col", values, weights, rows, block)
-    return _smooth_axis(down, "col", "row", values, weights, cols, block)
+    """Separable Gaussian neighbourhood mean on a complete (row, col) grid, the edge value repeated outside.
+
+    Square tiles with a border of the kernel's reach: one shuffle for both directions, and a line of any
+    length spans many tasks. A missing value makes the cells within its reach missing.
+    """
+    weights = np.array(gaussian_weights(sigma_km / (P.GRID_RES * P.KM_PER_DEG)))
+    r, names = len(weights) // 2, list(values)
+    dealt = cells.select("row", "col", *[F.col(v).cast("double").alias(v) for v in names], tiles_around("row", "col", r, block).alias("_t")) \
+        .select("row", "col", *names, "_t._ti", "_t._tj").where((F.col("_ti") * block < rows) & (F.col("_tj") * block < cols) & (F.col("_ti") >= 0) & (F.col("_tj") >= 0))
+
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        top, west = int(key[0]) * block, int(key[1]) * block
+        low, right = min(top + block, rows), min(west + block, cols)
+        ys, xs = np.clip(np.arange(top - r, low + r), 0, rows - 1), np.clip(np.arange(west - r, right + r), 0, cols - 1)
+        first_y, first_x = ys[0], xs[0]
+        out = {}
+        for v in names:
+            known = np.full((ys[-1] - first_y + 1, xs[-1] - first_x + 1), np.nan)
+            known[part["row"].to_numpy() - first_y, part["col"].to_numpy() - first_x] = part[v].to_numpy(float)
+            out[v] = smoothed(known[np.ix_(ys - first_y, xs - first_x)], weights).reshape(-1)
+        y, x = np.mgrid[top:low, west:right]
+        return pd.DataFrame({"row": y.reshape(-1), "col": x.reshape(-1), **out})
+
+    fields = "".join(f", {v} double" for v in names)
+    return spread(dealt, "_ti", "_tj").groupBy("_ti", "_tj").applyInPandas(run, f"row long, col long{fields}")
 
 
 # ---------------------------------------------------------------- tiles

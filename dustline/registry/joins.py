@@ -8,6 +8,7 @@ from dustline.operators import exposure, fires, kriging, lattice, neighbours, ta
 from dustline.registry import feeds as X
 from dustline.registry.core import query
 from dustline.registry.feeds import hav, r, sr
+from dustline.session import written
 
 LINKS = f"""links AS (SELECT a.site_id, b.site_id AS ref_id, {hav('a.lat','a.lon','b.lat','b.lon')} AS dist_km
   FROM stations a JOIN stations b ON NOT a.is_reference AND b.is_reference AND {hav('a.lat','a.lon','b.lat','b.lon')} <= 10)"""
@@ -142,15 +143,16 @@ def city_members(spark, sf):
 HELD = """rows_ AS (SELECT d.site_id, d.date, s.lat, s.lon, CAST(d.site_id % 4 AS INTEGER) AS fold FROM site_days d JOIN stations s USING (site_id))"""
 
 
-@query("D14 L12 E8", X.with_(X.STATIONS, X.SITE_DAYS, HELD) + f"""SELECT a.site_id, a.date, {sr("least(coalesce(min(" + hav('a.lat','a.lon','b.lat','b.lon') + "), 2000.0), 2000.0)",'dist_nearest_km')},
+@query("D14 L12 E8", X.with_(X.STATIONS, X.SITE_DAYS, HELD) + f"""SELECT a.fold, a.site_id, a.date, {sr("least(coalesce(min(" + hav('a.lat','a.lon','b.lat','b.lon') + "), 2000.0), 2000.0)",'dist_nearest_km')},
  count(*) FILTER (b.site_id IS NOT NULL AND {hav('a.lat','a.lon','b.lat','b.lon')} < 100) AS n_obs_100km
-FROM rows_ a LEFT JOIN rows_ b ON a.date = b.date AND b.fold <> 0 WHERE a.fold = 0 GROUP BY ALL""")
+FROM rows_ a LEFT JOIN rows_ b ON a.date = b.date AND b.fold <> a.fold GROUP BY ALL""")
 def held_out_neighbourhood(spark, sf):
-    d = X.site_days(spark, sf).join(X.stations(spark, sf).select("site_id", "lat", "lon"), "site_id")
-    held = F.pmod("site_id", F.lit(4)) == 0
-    src = d.where(~held).select("date", F.col("site_id").alias("src_id"), F.col("lat").alias("src_lat"), F.col("lon").alias("src_lon"))
-    out = neighbours.nearest_and_count(d.where(held).select("site_id", "date", "lat", "lon"), src, ["site_id"], "src_id", ["date"])
-    return out.select("site_id", "date", r("dist_nearest_km"), "n_obs_100km")
+    """Every row against the rows of its day in all other folds."""
+    d = X.site_days(spark, sf).join(X.stations(spark, sf).select("site_id", "lat", "lon"), "site_id").withColumn("fold", F.pmod("site_id", F.lit(4)).cast("int"))
+    d = written(d.select("fold", "site_id", "date", "lat", "lon"), "held-out-rows")
+    src = d.select("fold", "date", F.col("site_id").alias("src_id"), F.col("lat").alias("src_lat"), F.col("lon").alias("src_lon"))
+    out = neighbours.nearest_and_count(d, src, ["site_id"], "src_id", ["date"], unlike="fold")
+    return out.select("fold", "site_id", "date", r("dist_nearest_km"), "n_obs_100km")
 
 
 @query("D10 D21", X.with_(CSPOTS) + f"""SELECT cell, arg_min(i * 100 + j, d * 1e6 + i * 0.001 + j * 0.00001) AS node FROM (SELECT cell, i, j, round(power(lat - (4.5 + i * 0.5), 2) + power(lon - (-3.5 + j * 0.625), 2), 9) AS d

@@ -12,25 +12,55 @@ from dustline.session import fresh_path
 from dustline.sources import gridded, ground, history, vector, weather
 
 
-@query("A1 A2 I14 I27", """SELECT 'oaq_' || (user_id % 5) AS site_id, 's' || (user_id % 3) AS sensors_id, epoch(date_trunc('second', ts))::BIGINT AS sec, parameter, round(value, 4) AS value
-FROM (SELECT *, CASE event_type WHEN 'click' THEN 'pm25' WHEN 'view' THEN 'relativehumidity' WHEN 'error' THEN 'um003' ELSE 'temperature' END AS parameter FROM events)
-WHERE parameter <> 'um003' AND CAST(ts AS DATE) >= DATE '2024-01-11'""")
-def sensor_archive_scan(spark, sf):
-    """Daily gzip CSV files in partition folders with offset timestamps, read from a start date on."""
+def archive_rows(spark, sf):
+    """Sensor lines with offset timestamps and the columns of their folders."""
     e = X.table(spark, sf, "events")
     t = F.col("ts").cast("timestamp")
     kind = F.when(F.col("event_type") == "click", "pm25").when(F.col("event_type") == "view", "relativehumidity").when(F.col("event_type") == "error", "um003").otherwise("temperature")
     loc = F.pmod("user_id", F.lit(5)).cast("string")
-    rows = e.select(loc.alias("location_id"), F.concat(F.lit("s"), F.pmod("user_id", F.lit(3)).cast("string")).alias("sensors_id"), F.lit("here").alias("location"),
+    return e.select(loc.alias("location_id"), F.concat(F.lit("s"), F.pmod("user_id", F.lit(3)).cast("string")).alias("sensors_id"), F.lit("here").alias("location"),
                     F.date_format(t + F.expr("interval 1 hour"), "yyyy-MM-dd'T'HH:mm:ss'+01:00'").alias("datetime"), F.lit("5.6").alias("lat"), F.lit("-0.2").alias("lon"),
                     kind.alias("parameter"), F.lit("x").alias("units"), F.round("value", 4).cast("string").alias("value"),
                     loc.alias("locationid"), F.year(t).alias("year"), F.month(t).alias("month"), F.day(t).alias("day"))
+
+
+ARCHIVE_SQL = """SELECT 'oaq_' || (user_id % 5) AS site_id, 's' || (user_id % 3) AS sensors_id, epoch(date_trunc('second', ts))::BIGINT AS sec, parameter, round(value, 4) AS value
+FROM (SELECT *, CASE event_type WHEN 'click' THEN 'pm25' WHEN 'view' THEN 'relativehumidity' WHEN 'error' THEN 'um003' ELSE 'temperature' END AS parameter FROM events)
+WHERE parameter <> 'um003' AND CAST(ts AS DATE) >= DATE '2024-01-{day}'"""
+
+
+@query("A1 I14 I27", ARCHIVE_SQL.format(day="11"))
+def sensor_archive_scan(spark, sf):
+    """Daily gzip CSV files in partition folders with offset timestamps, one file a folder."""
     base = fresh_path(spark, "archive")
-    rows.write.partitionBy("locationid", "year", "month", "day").option("header", True).option("compression", "gzip").csv(base)
+    folders = ["locationid", "year", "month", "day"]
+    archive_rows(spark, sf).repartition(*folders).write.partitionBy(*folders).option("header", True).option("compression", "gzip").csv(base)
     scan = ground.read_archive(spark, base, "2024-01-01").where(F.to_date("time") >= "2024-01-11")
     return scan.select("site_id", "sensors_id", F.col("time").cast("long").alias("sec"), "parameter", F.round("value", 4).alias("value"))
 
 
+def dated_archive(spark, sf):
+    """Month folders with one file a day, named by its date."""
+    landed, base = fresh_path(spark, "landing"), fresh_path(spark, "archive")
+    folders = ["locationid", "year", "month", "day"]
+    archive_rows(spark, sf).repartition(*folders).write.partitionBy(*folders).option("header", True).option("compression", "gzip").csv(landed)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(landed).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(path(f"{landed}/locationid=*/year=*/month=*/day=*/part-*.csv.gz")):
+        parts = dict(x.split("=") for x in status.getPath().getParent().toString().split("/") if "=" in x)
+        month = path(f"{base}/locationid={parts['locationid']}/year={parts['year']}/month={int(parts['month']):02d}")
+        fs.mkdirs(month)
+        fs.rename(status.getPath(), path(month, f"location-{parts['locationid']}-{parts['year']}{int(parts['month']):02d}{int(parts['day']):02d}.csv.gz"))
+    return base
+
+
+@query("A2 A1", ARCHIVE_SQL.format(day="16"))
+def archive_from_start_date(spark, sf):
+    """Files named by their day; those before the start are left out of the listing."""
+    scan = ground.read_archive(spark, dated_archive(spark, sf), "2024-01-16")
+    return scan.select("site_id", "sensors_id", F.col("time").cast("long").alias("sec"), "parameter", F.round("value", 4).alias("value"))
+
+
 @query("A3 J4", """SELECT 'emb_' || lower(city) AS site_id, epoch(hr)::BIGINT AS sec, round(min(v), 4) AS value FROM (SELECT *, CASE user_id % 2 WHEN 0 THEN 'Lome' ELSE 'Accra' END AS city, date_trunc('hour', ts) AS hr, round(value, 4) AS v FROM events)
 WHERE event_type <> 'error' AND (CASE WHEN city = 'Lome' THEN event_type <> 'view' ELSE true END) GROUP BY ALL""")
 def reference_monitor_scan(spark, sf):

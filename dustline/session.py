@@ -64,6 +64,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def written(df, label: str):
+    """``df`` written below the shared folder and read again: later uses read columns instead of repeating the work before."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df, *keys: str):
     """Hash-partition over every shuffle partition, exempt from AQE coalescing.
 

@@ -19,19 +19,54 @@ REGISTRY_SCHEMA = ("location_id bigint, name_s3 string, provider string, owner s
                    "lon double, s3_last_day string, s3_n_days int")
 
 
+def _later(digits: str) -> list[str]:
+    """Glob patterns of the numbers of as many digits that are not below ``digits``."""
+    out = [digits]
+    for i, d in enumerate(digits):
+        if d < "9":
+            out.append(f"{digits[:i]}[{int(d) + 1}-9]{'?' * (len(digits) - i - 1)}")
+    return out
+
+
+def dated_names(first: str, end: str = ".csv.gz") -> str:
+    """Glob of the file names whose date, ``-YYYYMMDD`` before ``end``, is not before ``first``, and of names without such a date."""
+    dated = [f"*-{d}{end}" for d in _later(first)]
+    undated = [f"*[^-]{'?' * 8}{end}", *[f"*{'?' * i}[^0-9]{'?' * (7 - i)}{end}" for i in range(8)], *[f"{'?' * n}{end}" for n in range(9)]]
+    return "{" + ",".join(dated + undated) + "}"
+
+
+def archive_folders(spark: SparkSession, base: str, first: str) -> list[str]:
+    """Folders that can hold files from ``first`` (YYYYMMDD) on: whole later years, and the later months of the first year.
+
+    Only the names of year and month folders are listed, not what is in them.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def found(pattern: str) -> list[tuple[int, str]]:
+        got = [x.getPath().toString() for x in fs.globStatus(path(f"{base}/{pattern}")) or []]
+        return [(int(p.rsplit("=", 1)[1]), p) for p in got if p.rsplit("=", 1)[1].isdigit()]
+
+    year, month = int(first[:4]), int(first[4:6])
+    later = [p for y, p in found("locationid=*/year=*") if y > year]
+    return later + [p for m, p in found(f"locationid=*/year={year}/month=*") if m >= month]
+
+
 def read_archive(spark: SparkSession, base: str, start: str, parameters: Sequence[str] = P.SENSOR_PARAMETERS) -> DataFrame:
     """Daily gzip CSV files below ``locationid=/year=/month=`` from ``start`` on.
 
-    Year and month prune directories, the date in the file name prunes the rest; malformed
-    lines are dropped and offset timestamps become UTC.
+    Folders before the start's month are not listed, and files named with an earlier date are left out
+    of the listing, so neither is opened. Malformed lines are dropped and offset timestamps become UTC.
     """
-    raw = (spark.read.schema(ARCHIVE_SCHEMA).option("header", True).option("mode", "DROPMALFORMED")
-           .csv(base))
-    day = F.regexp_extract(F.col("_metadata.file_path"), r"-(\d{8})\.csv\.gz$", 1)
     first = start.replace("-", "")
-    months = F.col("year").cast("int") * 100 + F.col("month").cast("int")
-    return (raw.where((months >= int(first[:6])) & ((day == "") | (day >= first)))
-            .where(F.col("parameter").isin(*parameters))
+    folders = archive_folders(spark, base, first)
+    reader = spark.read.schema(f"{ARCHIVE_SCHEMA}, locationid string, year int, month int")
+    if folders:
+        raw = (reader.option("header", True).option("mode", "DROPMALFORMED").option("basePath", base)
+               .option("pathGlobFilter", dated_names(first)).csv(folders))
+    else:
+        raw = spark.createDataFrame([], f"{ARCHIVE_SCHEMA}, locationid string, year int, month int")
+    return (raw.where(F.col("parameter").isin(*parameters))
             .select(F.concat(F.lit("oaq_"), "location_id").alias("site_id"), "sensors_id",
                     F.to_timestamp(F.try_to_timestamp("datetime")).alias("time"), "parameter",
                     F.col("value").try_cast("double").alias("value"))

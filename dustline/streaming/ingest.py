@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dustline.operators import tables
 from dustline.session import fresh_path
@@ -36,53 +38,85 @@ def deduplicated(readings: DataFrame, keys: Sequence[str], lateness: str = LATEN
 class UpsertLog:
     """Keep-last table fed by micro-batches.
 
-    A batch is written to its own folder, named by its id, so a replay rewrites the same
-    folder and changes nothing. Reading keeps, per key, the row of the latest batch. After
-    every ``compact_every`` batches the log is folded into a base: a folder of its own that
-    counts only once its success mark is there, so a reader sees the old state or the new.
+    A batch is written to its own folder, named by the run's number and the batch id, so a replay
+    rewrites the same folder and changes nothing. A run is one stream checkpoint (``run``); where
+    the checkpoint is replaced, ids restart at 0, but the new run's number is higher, so its rows
+    are later. Reading keeps, per key, the row of the latest batch. After every ``compact_every``
+    batches the log is folded into a base: a folder of its own that counts only once its success
+    mark is there, so a reader sees the old state or the new.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], compact_every: int = 20):
-        self.spark, self.path, self.keys, self.compact_every = spark, path, list(keys), compact_every
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: str | StructType | None = None, run: str = "run",
+                 compact_every: int = 20):
+        self.spark, self.path, self.keys, self.schema, self.run, self.compact_every = spark, path, list(keys), schema, run, compact_every
 
-    def _ids(self, kind: str) -> list[int]:
-        """Ids of the finished folders ``<kind>=<id>``, in order."""
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
+    def _path(self, *names: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
+
+    def _fs(self):
+        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _names(self, kind: str, mark: str = "") -> list[str]:
+        """What follows ``<kind>=`` in the names of the folders that hold ``mark``."""
+        fs = self._fs()
+        if not fs.exists(self._path()):
             return []
-        found = [x.getPath() for x in fs.listStatus(root) if x.getPath().getName().startswith(f"{kind}=")]
-        return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+        names = [x.getPath().getName() for x in fs.listStatus(self._path())]
+        return [n.split("=", 1)[1] for n in names if n.startswith(f"{kind}=") and (not mark or fs.exists(self._path(n, mark)))]
+
+    def _number(self) -> int:
+        """Number of this run: that of its mark, or one above all others."""
+        runs = {name.split("-", 1)[1]: int(name.split("-", 1)[0]) for name in self._names("run")}
+        if self.run not in runs:
+            runs[self.run] = max(runs.values(), default=-1) + 1
+            self._fs().mkdirs(self._path(f"run={runs[self.run]}-{self.run}"))
+        return runs[self.run]
+
+    def _finished(self, kind: str) -> list[tuple[int, int]]:
+        """(run, batch id) of the finished folders, in order."""
+        return sorted(tuple(int(x) for x in name.split("-")) for name in self._names(kind, "_SUCCESS"))
 
-    def _pending(self) -> tuple[int | None, list[int]]:
-        base = max(self._ids("base"), default=None)
-        return base, [i for i in self._ids("batch_id") if base is None or i > base]
+    def _pending(self) -> tuple[tuple[int, int] | None, list[tuple[int, int]]]:
+        base = max(self._finished("base"), default=None)
+        return base, [i for i in self._finished("batch_id") if base is None or i > base]
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= max(self._ids("base"), default=-1):
+        number = self._number()
+        if (number, batch_id) <= max(self._finished("base"), default=(-1, -1)):
             return  # a replay of a batch that the base holds already
-        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={number}-{batch_id}")
         if len(self._pending()[1]) >= self.compact_every:
             self.compact()
 
-    def _log(self) -> DataFrame:
+    def _log(self) -> DataFrame | None:
         base, pending = self._pending()
-        parts = [self.spark.read.parquet(f"{self.path}/batch_id={i}").withColumn("batch_id", F.lit(i)) for i in pending]
-        if base is not None:
-            parts.insert(0, self.spark.read.parquet(f"{self.path}/base={base}").withColumn("batch_id", F.lit(base)))
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
+        folders = ([("base", base)] if base is not None else []) + [("batch_id", i) for i in pending]
+        parts = [self.spark.read.parquet(f"{self.path}/{kind}={number}-{i}").withColumn("__order", F.struct(F.lit(number).alias("run"), F.lit(i).alias("batch")))
+                 for kind, (number, i) in folders]
+        return reduce(DataFrame.unionByName, parts) if parts else None
 
     def read(self) -> DataFrame:
-        return tables.keep_last(self._log(), self.keys, F.col("batch_id")).drop("batch_id")
+        log = self._log()
+        if log is None:
+            if self.schema is None:
+                raise ValueError(f"nothing was written to {self.path}, and no schema was given")
+            return self.spark.createDataFrame([], self.schema)
+        return tables.keep_last(log, self.keys, F.col("__order")).drop("__order")
 
     def compact(self) -> None:
-        """Folds all finished batches into a new base. Folders it replaces stay for readers that still hold them."""
-        pending = self._pending()[1]
-        if pending:
-            self.read().write.mode("overwrite").parquet(f"{self.path}/base={max(pending)}")
+        """Folds all finished batches into a new base and removes what the base before it had replaced; the folders that this one
+        replaces stay for readers that still hold them."""
+        base, pending = self._pending()
+        if not pending:
+            return
+        number, batch = max(pending)
+        self.read().write.mode("overwrite").parquet(f"{self.path}/base={number}-{batch}")
+        if base is not None:
+            fs = self._fs()
+            for kind in ("base", "batch_id"):
+                for old in self._finished(kind):
+                    if old < base or (kind == "batch_id" and old == base):
+                        fs.delete(self._path(f"{kind}={old[0]}-{old[1]}"), True)
 
 
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None] | str, mode: str, checkpoint: str) -> None:
@@ -95,8 +129,9 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None] | st
 
 def ingest_hours(spark: SparkSession, readings: DataFrame, label: str = "hours") -> DataFrame:
     """Runs the hourly aggregation into an upsert log and returns its current rows."""
-    log = UpsertLog(spark, fresh_path(spark, label), ["site_id", "hour"])
-    run_available(hourly_means(readings), log.write, "update", fresh_path(spark, f"{label}-state"))
+    hours = hourly_means(readings)
+    log = UpsertLog(spark, fresh_path(spark, label), ["site_id", "hour"], hours.schema)
+    run_available(hours, log.write, "update", fresh_path(spark, f"{label}-state"))
     return log.read()
 
 

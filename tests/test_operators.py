@@ -291,6 +291,15 @@ def test_archive_dates_come_only_from_the_end_of_a_name(spark, tmp_path):
             f.write(head + f"7,9,x,2024-01-20T00:00:00+00:00,5.0,0.0,pm25,ug,{value}\n")
     got = sorted(r["value"] for r in ground.read_archive(spark, str(tmp_path), "2024-01-11").collect())
     assert got == [1.0, 3.0]
+    for year, month in ((2023, "12"), (2024, "02"), (2025, "01")):
+        folder = tmp_path / "locationid=7" / f"year={year}" / f"month={month}"
+        folder.mkdir(parents=True)
+        with gzip.open(folder / f"location-7-{year}{month}03.csv.gz", "wt") as f:
+            f.write(head + f"7,9,x,2024-01-20T00:00:00+00:00,5.0,0.0,pm25,ug,{year % 100}\n")
+    df = ground.read_archive(spark, str(tmp_path), "2024-01-11")
+    assert sorted(r["value"] for r in df.collect()) == [1.0, 3.0, 24.0, 25.0]
+    assert len(df.inputFiles()) == 4  # the others were never listed for the scan
+    assert ground.read_archive(spark, str(tmp_path), "2026-01-01").count() == 0
 
 
 def test_humidity_source_matters_for_the_log_linear_correction(spark):
@@ -311,5 +320,6 @@ def test_upsert_log_compacts_itself(spark, tmp_path):
     for i in range(7):
         log.write(spark.createDataFrame([(0, i), (i + 10, i)], "k int, v int"), i)
     log.write(spark.createDataFrame([(0, 99)], "k int, v int"), 1)  # a late replay changes nothing
-    assert log._ids("base") == [2, 5] and log._pending() == (5, [6])
+    assert log._finished("base") == [(0, 2), (0, 5)]
+    assert log._pending() == ((0, 5), [(0, 6)])
     assert {r["k"]: r["v"] for r in log.read().collect()} == {0: 6, **{i + 10: i for i in range(7)}}
