@@ -44,7 +44,8 @@ from dustline.llm.common import chunks, mix, remainder, segment_sums, stored, te
 CLASSES = GROUPS = 32
 FEATURE_ROWS, MOST_ROWS = 1 << 14, 1 << 18  # of a table of weights: at least, at most
 SHARDS, SHARD_TOKENS, ROUNDS = 12, 1 << 26, 3
-BATCH, RATE, CELLS = 4_096, 0.3, 1 << 16
+BATCH, RATE, CELLS = 1_024, 0.3, 1 << 16
+LOGIT = 60.0
 HEAD_WORDS = 50_000
 FLUSH_WORDS = 200_000
 MEMORY_WORDS = 150_000
@@ -117,13 +118,19 @@ def _rows(f: np.ndarray, size: int, classes: np.ndarray | None = None) -> np.nda
     return (f & np.uint64(size - 1)).astype(np.int64)
 
 
-def _log_softmax(table: np.ndarray, rows: np.ndarray, offset: np.ndarray) -> np.ndarray:
-    z = offset + table[rows[:, 0]]
+def _weights(table: np.ndarray, rows: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(logits, their exponentials) of each token: its offset and the weights of its features."""
+    z = table.take(rows[:, 0], axis=0)
     for j in range(1, rows.shape[1]):
-        z += table[rows[:, j]]
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+        z += table.take(rows[:, j], axis=0)
+    z += offset
+    np.clip(z, -LOGIT, LOGIT, out=z)  # exponentials of float32 stay finite
+    return z, np.exp(z)
+
+
+def _log_probability(table: np.ndarray, rows: np.ndarray, offset: np.ndarray, right: np.ndarray) -> np.ndarray:
+    z, e = _weights(table, rows, offset)
+    return z[np.arange(len(z)), right] - np.log(e.dot(np.ones(e.shape[1], dtype=e.dtype)))
 
 
 class Model:
@@ -139,13 +146,12 @@ class Model:
 
     def log10_group(self, f: np.ndarray, group: np.ndarray) -> np.ndarray:
         """log10 P(group | context) of each token."""
-        out, at = np.empty(len(group)), np.arange(BATCH)
+        out = np.empty(len(group))
         for i in range(0, len(group), BATCH):
             c, g = np.divmod(group[i:i + BATCH], GROUPS)
-            k = at[:len(c)]
             part = f[i:i + BATCH]
-            out[i:i + BATCH] = (_log_softmax(self.tables[0], _rows(part, self.size), self.class_offset)[k, c]
-                                + _log_softmax(self.tables[1], _rows(part[:, :2], self.size, c), self.group_offset[c])[k, g])
+            out[i:i + BATCH] = (_log_probability(self.tables[0], _rows(part, self.size), self.class_offset, c)
+                                + _log_probability(self.tables[1], _rows(part[:, :2], self.size, c), self.group_offset[c], g))
         return out / np.log(10)
 
     def learn(self, f: np.ndarray, group: np.ndarray, rng: np.random.Generator) -> None:
@@ -157,8 +163,8 @@ class Model:
             k = np.arange(len(pick))
             for table, rows, offset, right in ((self.tables[0], _rows(f[pick], self.size), self.class_offset, c),
                                                (self.tables[1], _rows(f[pick][:, :2], self.size, c), self.group_offset[c], g)):
-                grad = _log_softmax(table, rows, offset)
-                np.exp(grad, out=grad)
+                _, grad = _weights(table, rows, offset)
+                grad /= grad.dot(np.ones(grad.shape[1], dtype=grad.dtype))[:, None]
                 grad[k, right] -= 1
                 _descend(table, rows, grad)
 
