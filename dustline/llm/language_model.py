@@ -45,8 +45,8 @@ CLASSES = GROUPS = 32
 FEATURE_ROWS, MOST_ROWS = 1 << 14, 1 << 18  # of a table of weights: at least, at most
 SHARDS, SHARD_TOKENS, ROUNDS = 12, 1 << 26, 3
 BATCH, RATE, CELLS = 1_024, 0.3, 1 << 16
-LOGIT = 60.0
-HEAD_WORDS = 50_000
+LOGIT = np.float32(60)
+HEAD_WORDS = 100_000
 FLUSH_WORDS = 200_000
 MEMORY_WORDS = 150_000
 SMOOTH = 0.1
@@ -120,12 +120,14 @@ def _rows(f: np.ndarray, size: int, classes: np.ndarray | None = None) -> np.nda
 
 def _weights(table: np.ndarray, rows: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(logits, their exponentials) of each token: its offset and the weights of its features."""
-    z = table.take(rows[:, 0], axis=0)
-    for j in range(1, rows.shape[1]):
-        z += table.take(rows[:, j], axis=0)
+    columns = np.ascontiguousarray(rows.T)
+    z = table.take(columns[0], axis=0, mode="clip")  # rows are within the table; other modes check again
+    part = np.empty_like(z)
+    for column in columns[1:]:
+        z += table.take(column, axis=0, mode="clip", out=part)
     z += offset
-    np.clip(z, -LOGIT, LOGIT, out=z)  # exponentials of float32 stay finite
-    return z, np.exp(z)
+    np.minimum(z, LOGIT, out=z)  # exponentials of float32 stay finite
+    return z, np.exp(z, out=part)
 
 
 def _log_probability(table: np.ndarray, rows: np.ndarray, offset: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -160,9 +162,9 @@ class Model:
         for i in range(0, len(order), BATCH):
             pick = order[i:i + BATCH]
             c, g = np.divmod(group[pick], GROUPS)
-            k = np.arange(len(pick))
-            for table, rows, offset, right in ((self.tables[0], _rows(f[pick], self.size), self.class_offset, c),
-                                               (self.tables[1], _rows(f[pick][:, :2], self.size, c), self.group_offset[c], g)):
+            k, part = np.arange(len(pick)), f[pick]
+            for table, rows, offset, right in ((self.tables[0], _rows(part, self.size), self.class_offset, c),
+                                               (self.tables[1], _rows(part[:, :2], self.size, c), self.group_offset[c], g)):
                 _, grad = _weights(table, rows, offset)
                 grad /= grad.dot(np.ones(grad.shape[1], dtype=grad.dtype))[:, None]
                 grad[k, right] -= 1
