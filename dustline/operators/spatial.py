@@ -178,14 +178,18 @@ def nearest_occupied_cell(cells: DataFrame, occupied: DataFrame, cap_km: float =
     """
     reach = math.ceil(cap_km / cell_km)
     own = cells.select("row", "col").distinct().select("row", "col", F.floor(F.col("row") / block).alias("_ti"), F.floor(F.col("col") / block).alias("_tj"))
-    hits = occupied.select("row", "col").distinct().select("row", "col", tiles_around("row", "col", reach, block).alias("_t")) \
-        .select("row", "col", "_t._ti", "_t._tj")
+    # new names: both sides may come from one table
+    hits = occupied.select("row", "col").distinct().select(F.col("row").alias("y"), F.col("col").alias("x"), tiles_around("row", "col", reach, block).alias("_t")) \
+        .select("y", "x", "_t._ti", "_t._tj")
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left):
+            return pd.DataFrame({"row": np.zeros(0, dtype=np.int64), "col": np.zeros(0, dtype=np.int64), "dist_road": np.zeros(0)})
         top, west = int(key[0]) * block - reach, int(key[1]) * block - reach
         seen = np.zeros((block + 2 * reach,) * 2, dtype=bool)
-        (y, x), (hit_y, hit_x) = ((side["row"].to_numpy(np.int64), side["col"].to_numpy(np.int64)) for side in (left, right))
-        seen[hit_y - top, hit_x - west] = True
+        y, x = left["row"].to_numpy(np.int64), left["col"].to_numpy(np.int64)
+        if len(right):
+            seen[right["y"].to_numpy(np.int64) - top, right["x"].to_numpy(np.int64) - west] = True
         squared = squared_gaps(seen, reach)[y - top - reach, x - west - reach]
         return pd.DataFrame({"row": y, "col": x, "dist_road": np.minimum(np.sqrt(squared) * cell_km, cap_km)})
 

@@ -1,15 +1,19 @@
 """Polygons, lines, rasters, smoothing, orbits, clusters, kriging."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dustline import params as P
-from dustline.functions.metrics import correlation
+from dustline.functions.metrics import correlation, scores
 from dustline.functions.quantiles import exact_quantiles
 from dustline.operators import clusters, fires, kriging, spatial
 from dustline.registry import feeds as X
 from dustline.registry.core import query
 from dustline.registry.feeds import r, sr
 from dustline.registry.joins import _EDGES, CSPOTS, RES, cell_spots, residual_rows
+from dustline.session import written
 
 CORNERS = ((-1.0, 0.0), (0.0, -1.0), (1.0, 0.0), (0.0, 1.0))
 _EDGE_ROWS = ", ".join(f"({a[0]}::DOUBLE, {a[1]}::DOUBLE, {b[0]}::DOUBLE, {b[1]}::DOUBLE)" for a, b in zip(CORNERS, CORNERS[1:] + CORNERS[:1]))
@@ -224,12 +228,22 @@ def held_out_kriging(spark, sf):
 
 @query("L11")
 def kriging_variants(spark, sf):
-    """Raw residuals and anomalies, with and without a sensor-noise nugget."""
+    """Scores by variant and subset: no kriging, raw residuals and anomalies, each without and with a sensor-noise nugget. Raw residuals
+    and anomalies have their own correlogram."""
+    stations = X.stations(spark, sf).select("site_id", "country")
     a = anomalies(spark, sf)
     raw = a.drop("resid").join(residual_rows(spark, sf).select("site_id", "date", "resid"), ["site_id", "date"])
-    out = None
-    for name, df, extra in (("A", raw, None), ("B", raw, "extra"), ("C", a, None), ("D", a, "extra")):
-        k = kriging.krige_held_out(df, ["site_id"], **PARAMS, extra=extra, variant=True)
-        s = k.groupBy("fold").agg(F.round(F.avg("rk_mean"), 6).alias("mean"), F.round(F.avg("rk_var"), 6).alias("var")).withColumn("variant", F.lit(name))
-        out = s if out is None else out.unionByName(s)
-    return out
+    truth = written(raw.select("site_id", "date", F.col("resid").alias("y")).join(stations, "site_id"), "variant-truth")
+    fitted = {}
+    for kind, df in (("raw", raw), ("anomaly", a)):
+        cg = kriging.fit_correlogram(df.select("site_id", "date", "lat", "lon", "resid"))
+        fitted[kind] = {k: cg[k] for k in ("c0", "length", "var")}
+    runs = (("A", raw, "raw", None), ("B", raw, "raw", "extra"), ("C", a, "anomaly", None), ("D", a, "anomaly", "extra"))
+    kriged = [kriging.krige_held_out(df, ["site_id"], **fitted[kind], extra=extra, variant=True).select(F.lit(name).alias("variant"), "site_id", "date", F.col("rk_mean").alias("p"))
+              for name, df, kind, extra in runs]
+    none = truth.select(F.lit("stage1").alias("variant"), "site_id", "date", F.lit(0.0).alias("p"))
+    both = reduce(DataFrame.unionByName, [none, *kriged]).join(truth, ["site_id", "date"])
+    subset = F.explode(F.when(F.col("country") == "GH", F.array(F.lit("all"), F.lit("home"))).otherwise(F.array(F.lit("all"))))
+    return both.withColumn("subset", subset).groupBy("variant", "subset").agg(*scores(F.exp("y"), F.exp("p"))).select("variant", "subset", "n", r("r2", 6), r("rmse", 6))
+
+

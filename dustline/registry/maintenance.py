@@ -134,6 +134,15 @@ def station_activity(spark, sf):
     return g.select("user_id", "last_day", (F.col("last_day") > F.date_sub(F.lit("2024-02-15").cast("date"), 30)).alias("active"), F.coalesce("s", F.lit(0)).alias("stale_days"))
 
 
+@query("J8", """WITH d AS (SELECT DISTINCT CASE user_id % 4 WHEN 0 THEN 'archive' WHEN 1 THEN 'weather_reanalysis' WHEN 2 THEN 'weather_stations' ELSE 'static' END AS source, CAST(ts AS DATE) AS date FROM events)
+SELECT source, date FROM d WHERE (source = 'archive' AND date >= DATE '2024-01-25' - 4) OR (source = 'weather_reanalysis' AND date >= DATE '2024-01-25' - 30) OR (source = 'weather_stations' AND date >= DATE '2023-12-01')""")
+def refreshed_days(spark, sf):
+    """Landed days that a run reads again: four days, thirty days, or this month and the last one, by source."""
+    kind = F.element_at(F.array(*map(F.lit, ("archive", "weather_reanalysis", "weather_stations", "static"))), (F.pmod("user_id", F.lit(4)) + 1).cast("int"))
+    landed = X.table(spark, sf, "events").select(kind.alias("source"), F.to_date("ts").alias("date")).distinct()
+    return ground.refresh_set(landed, F.lit("2024-01-25").cast("date"))
+
+
 @query("H1 G1", X.with_(X.SITE_DAYS) + f"SELECT date, site_id, {sr('pm25','pm25')} FROM site_days")
 def ordered_site_days(spark, sf):
     return X.site_days(spark, sf).select("date", "site_id", r("pm25")).orderBy("date", "site_id")

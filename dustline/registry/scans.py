@@ -12,7 +12,7 @@ from dustline.session import fresh_path
 from dustline.sources import gridded, ground, history, vector, weather
 
 
-def archive_rows(spark, sf):
+def sensor_lines(spark, sf):
     """Sensor lines with offset timestamps and the columns of their folders."""
     e = X.table(spark, sf, "events")
     t = F.col("ts").cast("timestamp")
@@ -34,7 +34,7 @@ def sensor_archive_scan(spark, sf):
     """Daily gzip CSV files in partition folders with offset timestamps, one file a folder."""
     base = fresh_path(spark, "archive")
     folders = ["locationid", "year", "month", "day"]
-    archive_rows(spark, sf).repartition(*folders).write.partitionBy(*folders).option("header", True).option("compression", "gzip").csv(base)
+    sensor_lines(spark, sf).repartition(*folders).write.partitionBy(*folders).option("header", True).option("compression", "gzip").csv(base)
     scan = ground.read_archive(spark, base, "2024-01-01").where(F.to_date("time") >= "2024-01-11")
     return scan.select("site_id", "sensors_id", F.col("time").cast("long").alias("sec"), "parameter", F.round("value", 4).alias("value"))
 
@@ -43,7 +43,7 @@ def dated_archive(spark, sf):
     """Month folders with one file a day, named by its date."""
     landed, base = fresh_path(spark, "landing"), fresh_path(spark, "archive")
     folders = ["locationid", "year", "month", "day"]
-    archive_rows(spark, sf).repartition(*folders).write.partitionBy(*folders).option("header", True).option("compression", "gzip").csv(landed)
+    sensor_lines(spark, sf).repartition(*folders).write.partitionBy(*folders).option("header", True).option("compression", "gzip").csv(landed)
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(landed).getFileSystem(spark._jsc.hadoopConfiguration())
     for status in fs.globStatus(path(f"{landed}/locationid=*/year=*/month=*/day=*/part-*.csv.gz")):

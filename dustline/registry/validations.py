@@ -7,8 +7,9 @@ from dustline.functions.metrics import SCORE_NAMES, scores
 from dustline.functions.quantiles import conformal_quantile, exact_quantiles
 from dustline.operators import learning, validation as V
 from dustline.registry import feeds as X
-from dustline.registry.core import query
+from dustline.registry.core import CATALOGUE, query
 from dustline.registry.feeds import r, scores_sql, sr
+from dustline.session import written
 
 BASE = X.with_(X.STATIONS, X.PREDICTIONS)
 LEARN = P.LEARNERS
@@ -101,6 +102,30 @@ def ensemble_candidates(spark, sf):
     return ranked.select("mask", r("mean_r2"))
 
 
+ENSEMBLE = "ens AS (SELECT scheme, dom, CAST(mask AS VARCHAR) AS candidate, pm25, exp(" + _MEAN + ") AS p FROM sch, (SELECT CAST(unnest(range(1, 16)) AS INTEGER) AS mask) UNION ALL SELECT scheme, dom, 'stack', pm25, exp(0.25 * lgbm + 0.75 * catboost) FROM sch)"
+
+
+@query("M9 G2", BASE.rstrip() + f""",
+sch AS (SELECT p.*, d.dom, CASE fold % 3 WHEN 0 THEN 'cluster' WHEN 1 THEN 'site' ELSE 'temporal' END AS scheme FROM predictions p, LATERAL (SELECT unnest(CASE WHEN country = 'GH' THEN ['all', 'home'] ELSE ['all'] END) AS dom) d),
+{ENSEMBLE}, r AS (SELECT candidate, avg(r2) AS mean_r2 FROM (SELECT scheme, dom, candidate, 1 - sum((p - pm25) * (p - pm25)) / (var_pop(pm25) * count(*)) AS r2 FROM ens GROUP BY ALL) GROUP BY candidate)
+SELECT candidate, {sr('mean_r2','mean_r2')}, mean_r2 = max(mean_r2) OVER () AS chosen FROM r""")
+def ensemble_choice(spark, sf):
+    """Subsets and a weighted stack over three schemes by two domains, with the chosen one."""
+    p = X.predictions(spark, sf).withColumns({"scheme": F.element_at(F.array(*map(F.lit, ("cluster", "site", "temporal"))), (F.col("fold") % 3 + 1).cast("int")),
+                                             "stack": 0.25 * F.col("lgbm") + 0.75 * F.col("catboost")})
+    c = V.ensemble_choice(p, "pm25", LEARN, "scheme", F.col("country") == "GH", "stack")
+    return c.select("candidate", r("mean_r2"), "chosen")
+
+
+@query("M10 G2", BASE + """SELECT country, max_by(lam, [r2, -lam]) AS lam FROM (SELECT country, CAST(lam AS DOUBLE) AS lam, round(1 - sum(power(exp(catboost + lam * (lgbm - y)) - pm25, 2)) / (var_pop(pm25) * count(*)), 10) AS r2
+ FROM predictions, (VALUES (0.0), (0.1), (0.2), (0.3), (0.5), (0.75), (1.0)) l(lam) GROUP BY ALL) GROUP BY country""")
+def chosen_correction_strength(spark, sf):
+    """Strength of the correction with the best R2, the smaller one among equals."""
+    p = X.predictions(spark, sf).withColumn("rk", F.col("lgbm") - F.col("y"))
+    scan = V.lambda_scan(p, "pm25", "catboost", "rk", ["country"])
+    return scan.groupBy("country").agg(F.max_by("lam", F.struct(F.round("r2", 10), -F.col("lam"))).alias("lam"))
+
+
 @query("M10", BASE + f"SELECT country, CAST(lam AS DOUBLE) AS lam, {sr('1 - sum(power(exp(catboost + lam * (lgbm - y)) - pm25, 2)) / (var_pop(pm25) * count(*))','r2')} FROM predictions, (VALUES (0.0), (0.1), (0.2), (0.3), (0.5), (0.75), (1.0)) l(lam) GROUP BY ALL")
 def correction_strength_scan(spark, sf):
     p = X.predictions(spark, sf).withColumn("rk", F.col("lgbm") - F.col("y"))
@@ -132,6 +157,16 @@ def nested_interval_coverage(spark, sf):
     return c.select("nominal", "subset", r("coverage"), "n", r("median_width"))
 
 
+NESTED_SQL = CATALOGUE["nested_interval_coverage"].sql
+
+
+@query("N13 M14", f"SELECT round(100 * coverage, 1) AS covered_pct, nominal, n, median_width FROM ({NESTED_SQL}) WHERE subset = 'all' AND nominal = 0.9")
+def coverage_headline(spark, sf):
+    """Share of held-out rows inside their 90 % interval, over all rows."""
+    c = nested_interval_coverage(spark, sf).where("subset = 'all' and nominal = 0.9")
+    return c.select(F.round(F.col("coverage") * 100, 1).alias("covered_pct"), "nominal", "n", "median_width")
+
+
 @query("E29 N6 K6", BASE + f"SELECT site_id, CAST(month(date) AS INTEGER) AS month, count(*) AS n, {sr('avg(pm25)','obs')}, {sr('avg(cams_pm25)','cams')}, {sr('quantile_cont(cams_pm25 / pm25, 0.5)','ratio')} FROM predictions WHERE is_reference GROUP BY ALL")
 def reference_site_bias(spark, sf):
     p = X.predictions(spark, sf).where("is_reference").withColumn("month", F.month("date"))
@@ -157,12 +192,44 @@ def fold_excluded_lines(spark, sf):
     return V.fold_excluded_line(d, ["variable"], "x", "y").select("fold", "variable", r("b", 6), r("a", 4))
 
 
-@query("B17 B19")
+SCHEMES = ("cluster", "random")
+
+
+def bundle(spark, sf):
+    """(scheme, body): score rows, density cells and interval coverage of each scheme as one document."""
+    p = X.predictions(spark, sf).withColumn("scheme", F.when(F.col("fold") % 2 == 0, SCHEMES[0]).otherwise(SCHEMES[1]))
+    sigma = F.col("cal_sigma_log") + 0.05
+    p = written(p.withColumns({"sigma": sigma, "score": F.abs(F.col("y") - F.col("lgbm")) / sigma, "logpred": F.col("lgbm")}), "bundle-rows")
+    listed = lambda df, name, *cols: df.groupBy("scheme").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
+    metrics = listed(scheme_model_subset_scores(spark, sf), "metrics", "model", "subset", "n", "r2", "rmse")
+    density = listed(V.log_histogram(p, F.col("pm25"), F.col("cams_pm25"), keys=["scheme"]), "density", "i", "j", "n")
+    covered = [V.nested_coverage(p.where(F.col("scheme") == name), {0.1: "90", 0.32: "68"}, flags()).withColumn("scheme", F.lit(name)) for name in SCHEMES]
+    coverage = listed(covered[0].unionByName(covered[1]), "coverage", "nominal", "subset", "n", r("coverage"))
+    whole = metrics.join(density, "scheme", "left").join(coverage, "scheme", "left")
+    return whole.select("scheme", F.to_json(F.struct("metrics", "density", "coverage"), {"ignoreNullFields": "false"}).alias("body"))
+
+
+_DENSITY = "floor((least(greatest(log10({0}), log10(2.0)), log10(400.0) - 1e-9) - log10(2.0)) / (log10(400.0) - log10(2.0)) * 40)"
+_COVERED = " UNION ALL ".join(
+    f"SELECT '{name}' AS scheme, 'coverage' AS part, CAST(nominal AS VARCHAR) || '|' || subset AS item, n, coverage AS value FROM ("
+    + NESTED_SQL.replace("FROM predictions p, LATERAL", f"FROM (SELECT * FROM predictions WHERE fold % 2 = {k}) p, LATERAL") + ")" for k, name in enumerate(SCHEMES))
+
+
+@query("B17 B19", f"""SELECT scheme, 'metrics' AS part, model || '|' || subset AS item, n, r2 AS value FROM ({CATALOGUE["scheme_model_subset_scores"].sql})
+UNION ALL SELECT * FROM (WITH {BASE.strip()[4:]} SELECT CASE fold % 2 WHEN 0 THEN 'cluster' ELSE 'random' END AS scheme, 'density' AS part, CAST({_DENSITY.format('pm25')} AS INTEGER) || '|' || CAST({_DENSITY.format('cams_pm25')} AS INTEGER) AS item, count(*) AS n, NULL::DOUBLE AS value
+  FROM predictions WHERE pm25 > 0 AND cams_pm25 > 0 GROUP BY ALL)
+UNION ALL {_COVERED}""")
 def validation_bundle(spark, sf):
-    """Score rows, density cells and coverage nested per scheme as one document."""
-    s = scheme_model_subset_scores(spark, sf)
-    rows = s.groupBy("scheme").agg(F.array_sort(F.collect_list(F.struct("model", "subset", "n", "r2", "rmse"))).alias("metrics"))
-    return rows.select("scheme", F.to_json(F.struct("metrics"), {"ignoreNullFields": "false"}).alias("body"))
+    """The documents of ``bundle``, read back from their JSON as rows."""
+    kind = "metrics array<struct<model:string,subset:string,n:bigint,r2:double>>, density array<struct<i:int,j:int,n:bigint>>, coverage array<struct<nominal:double,subset:string,n:bigint,coverage:double>>"
+    b = bundle(spark, sf).select("scheme", F.from_json("body", kind).alias("b"))
+
+    def part(name, item, value):
+        x = b.select("scheme", F.explode(f"b.{name}").alias("x"))
+        return x.select("scheme", F.lit(name).alias("part"), F.concat_ws("|", *[F.col(f"x.{c}").cast("string") for c in item]).alias("item"), F.col("x.n").alias("n"), value.alias("value"))
+
+    return (part("metrics", ("model", "subset"), F.col("x.r2")).unionByName(part("density", ("i", "j"), F.lit(None).cast("double")))
+            .unionByName(part("coverage", ("nominal", "subset"), F.col("x.coverage"))))
 
 
 @query("M8 D2", None)

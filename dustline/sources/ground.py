@@ -133,6 +133,20 @@ def with_day_counts(stations: DataFrame, days: DataFrame) -> DataFrame:
     return stations.join(days.groupBy("site_id").agg(F.count(F.lit(1)).alias("n_days")), "site_id")
 
 
-def stale_partitions(days: DataFrame, today, keep_days: int = 4) -> DataFrame:
+#: When landed days of a source may still change: days back from the run, or the month of the run and the one before it.
+REFRESH_DAYS = {"archive": 4, "weather_reanalysis": 30}
+REFRESH_MONTHS = ("weather_stations",)
+
+
+def stale_partitions(days: DataFrame, today, keep_days: int = REFRESH_DAYS["archive"]) -> DataFrame:
     """Dates whose landed files may still grow and must be read again."""
     return days.where(F.col("date") >= F.date_sub(today, keep_days))
+
+
+def refresh_set(landed: DataFrame, today, source: str = "source") -> DataFrame:
+    """Landed (source, date) that a run on ``today`` reads again, each source by its rule; a source without a rule is read once."""
+    kind, date = F.col(source), F.col("date")
+    again = F.lit(False)
+    for name, back in REFRESH_DAYS.items():
+        again = again | ((kind == name) & (date >= F.date_sub(today, back)))
+    return landed.where(again | (kind.isin(*REFRESH_MONTHS) & (date >= F.add_months(F.trunc(today, "month"), -1))))
