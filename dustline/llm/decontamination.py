@@ -12,9 +12,10 @@ Items go to the tasks in blocks of at most ``BLOCK_CHARS`` characters, so what i
 bound; a benchmark larger than a block costs one pass over the documents per block. Documents
 never move: every block is one narrow job, safe to rerun on any executor.
 
-Edge cases: null or empty documents and items match nothing; an item under ``LEAST_CHARS``
-normalised characters matches only a document that equals it, as it could occur anywhere by
-chance; repeated documents give repeated rows; repeated items give a row each; extra columns are
+An item under ``LEAST_CHARS`` normalised characters could occur inside other words by chance, so it is
+searched with the blanks around it: as whole words, by the same automaton and budget.
+
+Edge cases: null or empty documents and items match nothing; repeated documents give repeated rows; repeated items give a row each; extra columns are
 ignored, names may clash; a very long text is searched whole.
 """
 
@@ -46,11 +47,10 @@ def normal(text: str | bytes | None) -> str:
     return b" ".join(text.lower().encode("utf-8", "replace").translate(_BLANKS).split()).decode("utf-8", "replace")
 
 
-def pieces(item: str, edits: float = EDITS) -> tuple[int, list[tuple[int, str]]]:
-    """(budget, [(offset, piece)]): budget + 1 pieces that cover the item, sizes as even as possible."""
-    budget = int(len(item) * edits)
+def pieces(item: str, budget: int) -> list[tuple[int, str]]:
+    """(offset, piece) of budget + 1 pieces that cover the item, sizes as even as possible."""
     cuts = [len(item) * i // (budget + 1) for i in range(budget + 2)]
-    return budget, [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
+    return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
 def best_distance(item: str, text: str) -> tuple[int, int]:
@@ -84,20 +84,14 @@ class Matcher:
     """Finds the items of one block in normalised texts."""
 
     def __init__(self, items: list[tuple[int | None, str]], edits: float = EDITS):
-        self.items, self.budget = items, []
-        self.short: dict[str, list[int]] = defaultdict(list)
+        self.short = [len(item) < LEAST_CHARS for _, item in items]
+        self.items = [(i, f" {item} " if short and item else item) for (i, item), short in zip(items, self.short)]
+        self.budget = [int(len(item) * edits) for _, item in items]
         owners: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, item) in enumerate(items):
-            if len(item) < LEAST_CHARS:
-                self.budget.append(0)
-                if item:
-                    self.short[item].append(k)
-                continue
-            budget, parts = pieces(item, edits)
-            self.budget.append(budget)
-            for offset, piece in parts:
+        for k, (_, item) in enumerate(self.items):
+            for offset, piece in pieces(item, self.budget[k]) if item else ():
                 owners[piece].append((k, offset))
-        self.grams = [[item[i:i + GRAM] for i in range(len(item) - GRAM + 1)] for _, item in items]
+        self.grams = [[item[i:i + GRAM] for i in range(len(item) - GRAM + 1)] for _, item in self.items]
         self.needed = [len(g) - GRAM * b for g, b in zip(self.grams, self.budget)]
         self.automaton = ahocorasick.Automaton()
         for piece, where in owners.items():
@@ -133,12 +127,12 @@ class Matcher:
 
     def matches(self, text: str) -> list[tuple[int, int, int]]:
         """(item, distance, end in the normalised text) of every item found, its best place first in the text."""
-        out = [(k, 0, len(text)) for k in self.short.get(text, ())]
-        if self.any and len(text) >= LEAST_CHARS - int(LEAST_CHARS * EDITS):
-            for k, spans in self.windows(text).items():
-                best = min(((*best_distance(self.items[k][1], text[lo:hi]), lo) for lo, hi in spans), key=lambda x: x[0])
+        out, padded = [], f" {text} "
+        if self.any and text:
+            for k, spans in self.windows(padded).items():
+                best = min(((*best_distance(self.items[k][1], padded[lo:hi]), lo) for lo, hi in spans), key=lambda x: x[0])
                 if best[0] <= self.budget[k]:
-                    out.append((k, best[0], best[1] + best[2]))
+                    out.append((k, best[0], min(len(text), max(0, best[1] + best[2] - 1 - self.short[k]))))
         return out
 
 

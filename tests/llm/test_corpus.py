@@ -315,7 +315,7 @@ def plain_distance(item, text):
 
 def test_leaks_match_brute_force(spark):
     rng = random.Random(6)
-    items = [(i, prose(rng, EN, 12)) for i in range(8)] + [(8, "short one"), (9, ""), (10, None)]
+    items = [(i, prose(rng, EN, 12)) for i in range(8)] + [(8, "short one"), (9, ""), (10, None), (11, "What is a quark?"), (12, "of")]
     docs = []
     for i in range(60):
         text = prose(rng, EN, 20)
@@ -326,17 +326,20 @@ def test_leaks_match_brute_force(spark):
                 item[at:at + rng.randrange(0, 2)] = rng.choice(["", "q", "zz"])
             text += " " + "".join(item).upper() + ", " + prose(rng, EN, 10)
         docs.append((i, text))
-    docs += [(100, None), (101, ""), (102, "Short  ONE!"), (103, "a short one here"), (5, docs[5][1])]
+    docs += [(100, None), (101, ""), (102, "Short  ONE!"), (103, "a short one here"), (5, docs[5][1]), (104, "shorts one, short ones, ashort one"),
+             (105, prose(rng, EN, 300) + ". What is a QUARK, they asked. " + prose(rng, EN, 300)), (106, "so what is a kuark then"), (107, "soft offer")]
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit(1))
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = []
     for i, t in docs:
         for k, item in items:
             a, b = dc.normal(item), dc.normal(t)
-            if len(a) < dc.LEAST_CHARS:
-                if a and a == b:
-                    want.append((i, k, 0))
-            elif (d := plain_distance(a, b)) <= int(len(a) * dc.EDITS):
+            if not a or not b:
+                continue
+            budget = int(len(a) * dc.EDITS)
+            if len(a) < dc.LEAST_CHARS:  # as whole words
+                a, b = f" {a} ", f" {b} "
+            if (d := plain_distance(a, b)) <= budget:
                 want.append((i, k, d))
     got = [(r["doc_id"], r["item_id"], r["distance"]) for r in dc.leaks(df, bench).collect()]
     assert sorted(got) == sorted(want) and len(want) > 20
