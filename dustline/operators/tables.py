@@ -73,5 +73,6 @@ def touched_months(today: Column, days: int = 10) -> Column:
 
 
 def deterministic_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 0) -> DataFrame:
-    """``n`` rows without replacement, the same ones whatever the partitioning."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)
+    """``n`` rows without replacement, the same ones whatever the partitioning: those with the smallest MD5 of seed and keys."""
+    code = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    return df.orderBy(code, *keys).limit(n)

@@ -95,7 +95,7 @@ def series_tail(spark, sf):
     return X.site_days(spark, sf).withColumn("_r", F.row_number().over(w)).where("_r <= 60").select("site_id", "date", r("pm25"))
 
 
-@query("G5", None)
+@query("G5", "SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY md5('0:' || l_orderkey || ':' || l_linenumber), l_orderkey, l_linenumber LIMIT 2000")
 def deterministic_sample(spark, sf):
     return tables.deterministic_sample(X.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], 2000)
 
