@@ -519,7 +519,7 @@ def test_registered_queries_return_the_contract(spark):
     want = {"op1": "doc_id n_email n_ip n_card n_phone base_sha256 spans", "op2": "query_id rank vec_id score",
             "op3": "doc_id held_out n_tokens n_known train_tokens base_score score", "op5": "doc_id n_assign n_access n_hex base_sha256 spans",
             "op6": "doc_id held_out score predicted", "op8": "doc_id held_out lang_pred score", "op10": "doc_id n_shingles component_id kept"}
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     for name in ("op1_personal_data", "op5_secrets"):
         row = QUERIES[name](spark, "/root/testdata/sf0.001").where("spans = ''").first()
         assert row["base_sha256"] == hashlib.sha256(b"").hexdigest()
