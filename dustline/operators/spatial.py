@@ -75,7 +75,7 @@ def polygon_cells(points: DataFrame, edges: DataFrame, keys: Sequence[str], feat
     """
     keys = list(keys)
     local, east = polygon_index(edges, feature, band, tile)
-    placed = points.select(*keys, "lat", "lon", F.floor(F.col("lat") / band).alias("_b"), F.floor(F.col("lon") / tile).alias("_t"))
+    placed = points.select(*dict.fromkeys([*keys, "lat", "lon"]), F.floor(F.col("lat") / band).alias("_b"), F.floor(F.col("lon") / tile).alias("_t"))
     crossing = F.col("x1") + (F.col("lat") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
     hits = (placed.join(local, ["_b", "_t"])
             .where(((F.col("y1") > F.col("lat")) != (F.col("y2") > F.col("lat"))) & (F.col("lon") < crossing))
@@ -88,9 +88,13 @@ def polygon_cells(points: DataFrame, edges: DataFrame, keys: Sequence[str], feat
 
 def assign_polygon(points: DataFrame, edges: DataFrame, keys: Sequence[str], out: str,
                    feature: str = "feature_id") -> DataFrame:
-    """Feature index per point, -1 outside; where polygons overlap the later feature wins."""
-    inside = polygon_cells(points, edges, keys, feature).groupBy(*keys).agg(F.max(feature).alias(out))
-    return points.join(inside, list(keys), "left").fillna({out: -1})
+    """Feature index per point, -1 outside; where polygons overlap the later feature wins.
+
+    Points at one spot have one answer, so only distinct spots meet edges.
+    """
+    spot = ["lat", "lon"]
+    inside = polygon_cells(points.select(*spot).distinct(), edges, spot, feature).groupBy(*spot).agg(F.max(feature).alias(out))
+    return points.join(inside, spot, "left").fillna({out: -1}).select(*dict.fromkeys([*keys, *points.columns]), out)
 
 
 # ---------------------------------------------------------------- nearest polyline
@@ -101,12 +105,13 @@ def distance_to_lines(points: DataFrame, segments: DataFrame, keys: Sequence[str
     Flat coordinates scaled at ``mean_lat``. Segments are listed in every cell of their padded
     bounding box, so a point meets all segments within a cell's size. Points that have none so
     near go on to cells twice as large, starting from ``first_km``, until all have met one.
+    Points at one spot have one answer, so only distinct spots meet segments.
     """
     shared_dir(points.sparkSession)
-    keys, k = list(keys), math.cos(math.radians(mean_lat))
+    spot, k = ["lat", "lon"], math.cos(math.radians(mean_lat))
     xs = segments.select((F.col("x1") * k).alias("ax"), F.col("y1").alias("ay"), (F.col("x2") * k).alias("bx"),
                          F.col("y2").alias("by"))
-    left = points.select(*keys, (F.col("lon") * k).alias("_px"), F.col("lat").alias("_py"))
+    left = points.select(*spot, (F.col("lon") * k).alias("_px"), F.col("lat").alias("_py")).distinct().checkpoint()
     vx, vy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
     along = F.try_divide((F.col("_px") - F.col("ax")) * vx + (F.col("_py") - F.col("ay")) * vy, vx * vx + vy * vy)
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0))))
@@ -122,12 +127,12 @@ def distance_to_lines(points: DataFrame, segments: DataFrame, keys: Sequence[str
         listed = (xs.withColumn("_ci", F.explode(F.sequence(cell(F.least("ay", "by") - size), cell(F.greatest("ay", "by") + size))))
                   .withColumn("_cj", F.explode(F.sequence(cell(F.least("ax", "bx") - size), cell(F.greatest("ax", "bx") + size)))))
         placed = left.withColumn("_ci", cell(F.col("_py"))).withColumn("_cj", cell(F.col("_px")))
-        best = placed.join(listed, ["_ci", "_cj"]).groupBy(*keys).agg(F.min(d).alias("_d"))
+        best = placed.join(listed, ["_ci", "_cj"]).groupBy(*spot).agg(F.min(d).alias("_d"))
         best = (best if whole else best.where(F.col("_d") <= reach_km)).checkpoint()
         found = best if found is None else found.unionByName(best)
-        left = left.join(best.select(*keys), keys, "left_anti").where("_px is not null and _py is not null")
+        left = left.join(best.select(*spot), spot, "left_anti").where("_px is not null and _py is not null")
         if whole or left.isEmpty():
-            return points.join(found, keys, "left").withColumnRenamed("_d", "dist_line_km")
+            return points.join(found, spot, "left").select(*dict.fromkeys([*keys, *points.columns]), F.col("_d").alias("dist_line_km"))
         reach_km *= 2
 
 
