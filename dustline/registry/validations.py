@@ -203,8 +203,8 @@ def bundle(spark, sf):
     listed = lambda df, name, *cols: df.groupBy("scheme").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
     metrics = listed(scheme_model_subset_scores(spark, sf), "metrics", "model", "subset", "n", "r2", "rmse")
     density = listed(V.log_histogram(p, F.col("pm25"), F.col("cams_pm25"), keys=["scheme"]), "density", "i", "j", "n")
-    covered = [V.nested_coverage(p.where(F.col("scheme") == name), {0.1: "90", 0.32: "68"}, flags()).withColumn("scheme", F.lit(name)) for name in SCHEMES]
-    coverage = listed(covered[0].unionByName(covered[1]), "coverage", "nominal", "subset", "n", r("coverage"))
+    covered = V.nested_coverage(p, {0.1: "90", 0.32: "68"}, flags(), schemes=("scheme", SCHEMES))
+    coverage = listed(covered, "coverage", "nominal", "subset", "n", r("coverage"))
     whole = metrics.join(density, "scheme", "left").join(coverage, "scheme", "left")
     return whole.select("scheme", F.to_json(F.struct("metrics", "density", "coverage"), {"ignoreNullFields": "false"}).alias("body"))
 
